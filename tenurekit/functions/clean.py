@@ -111,14 +111,14 @@ def _sql(c) -> str:
 # C6 / C8 ---------------------------------------------------------------------
 def parse_percent(c, rule: str = "fraction") -> Column:
     """Three percent rules:
-    'fraction' -> strip '%' and divide by 100 when the value is text with a '%'
-                   (plain numbers stay as they are);
+    'fraction' -> text column: strip '%' and divide by 100 (every value, as
+                   the text branch of the season-file reader does);
     'plain'    -> plain number only; text carrying '%' gives null;
     'points'   -> strip '%' and keep the 0-100 scale."""
     s = F.trim(_c(c).cast("string"))
     num = _try_double(F.regexp_replace(s, "%", ""))
     if rule == "fraction":
-        return F.when(s.contains("%"), num / 100.0).otherwise(_try_double(s))
+        return num / 100.0
     if rule == "plain":
         return F.when(s.contains("%"), F.lit(None).cast("double")).otherwise(_try_double(s))
     if rule == "points":
@@ -137,10 +137,14 @@ def coerce_number(c, default: float | None = None) -> Column:
 
 
 # C7 -------------------------------------------------------------------------
-def parse_games(c) -> Column:
-    """Integer games: bad text -> null; a float is truncated ('38.5' -> 38)."""
+def parse_games(c, truncate_text: bool = False) -> Column:
+    """Integer games from a text column: bad text ('-', '38.5') -> null and is
+    skipped by the sums.  ``truncate_text=True`` truncates decimal text
+    instead (the numeric-column case: 38.5 -> 38)."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(s.try_cast("int"), s.try_cast("double").try_cast("int"))
+    if truncate_text:
+        return F.coalesce(s.try_cast("int"), s.try_cast("double").try_cast("int"))
+    return s.try_cast("int")
 
 
 # C9 -------------------------------------------------------------------------
@@ -220,13 +224,14 @@ def career_status(seen_latest, seen_previous) -> Column:
 
 # C18 / C19 ------------------------------------------------------------------
 def team_changes(num_teams) -> Column:
-    return F.greatest(F.lit(0), _c(num_teams) - 1).cast("int")
+    return F.greatest(F.lit(0.0), _c(num_teams).cast("double") - 1.0)
 
 
 def volatility_bucket(num_teams) -> Column:
     ch = team_changes(num_teams)
-    return (F.when(ch <= 1, F.lit("Stable")).when(ch <= 2, F.lit("Moderate"))
-            .otherwise(F.lit("High")))
+    lab = maps.VOLATILITY_ORDER
+    return (F.when(ch <= 1, F.lit(lab[0])).when(ch <= 2, F.lit(lab[1]))
+            .otherwise(F.lit(lab[2])))
 
 
 # C20 ------------------------------------------------------------------------

@@ -137,7 +137,7 @@ SEASON_LAST_LABELLED = 15
 
 # --- FIXED VALUES: report orderings ----------------------------------------
 ROLE_REPORT_ORDER = ["Top", "Jungle", "Mid", "Bot", "ADC", "Support", "(unknown)"]
-VOLATILITY_ORDER = ["Stable", "Moderate", "High"]
+VOLATILITY_ORDER = ["Stable (0-1 changes)", "Moderate (2 changes)", "High (3+ changes)"]
 # East = LCK + LPL, West = LEC + LCS, everything else Other
 EAST_LEAGUES = ["LCK", "LPL"]
 WEST_LEAGUES = ["LEC", "LCS"]

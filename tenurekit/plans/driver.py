@@ -136,3 +136,41 @@ SPLIT_RANK_SQL = """CASE WHEN split IS NULL THEN 100
 
 def with_sql(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
+
+
+def driver_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity × period) stats panel over the driver tables, landed as text the
+    way season files arrive: games and win rate are strings ('62%')."""
+    from ..operators.rules import assign_tier_region
+    p = driver_panel(spark, sf_dir, need=("role", "country", "team"))
+    p = assign_tier_region(p, "league", driver_rules(spark), "tier_no", "region_m")
+    return _stats_select(p)
+
+
+def _stats_select(p: DataFrame) -> DataFrame:
+    return p.select(
+        F.col("entity").cast("string").alias("player"),
+        F.col("period").alias("season"),
+        F.col("row_id").alias("row_no"),
+        F.col("team").cast("string").alias("team"),
+        F.col("league"),
+        F.col("role"),
+        F.when(F.col("tier_no") == 1, "S").otherwise("A").alias("tier"),
+        F.col("country"),
+        F.floor(F.col("value") / 10000).cast("int").cast("string").alias("games"),
+        F.concat(F.floor(100 * F.col("value") / (F.col("value") + 100000)).cast("int").cast("string"),
+                 F.lit("%")).alias("win_rate"),
+        (F.col("value") / 10000).alias("kda"),
+    )
+
+
+STATS_SQL = """
+stats AS (
+  SELECT CAST(entity AS VARCHAR) AS player, period AS season, row_id AS row_no,
+         CAST(team AS VARCHAR) AS team, league, role,
+         CASE WHEN tier = 1 THEN 'S' ELSE 'A' END AS tier, country,
+         CAST(CAST(floor(value / 10000) AS INTEGER) AS VARCHAR) AS games,
+         CAST(CAST(floor(100 * value / (value + 100000)) AS INTEGER) AS VARCHAR) || '%' AS win_rate,
+         value / 10000 AS kda
+  FROM tiered
+)"""

@@ -52,7 +52,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def apply_scale_conf(spark: SparkSession) -> None:
     for k, v in SCALE_CONF.items():
-        if k != "spark.ui.enabled":
+        if not k.startswith("spark.ui."):
             spark.conf.set(k, v)
 
 
