@@ -160,7 +160,7 @@ def _stats_select(p: DataFrame) -> DataFrame:
         F.floor(F.col("value") / 10000).cast("int").cast("string").alias("games"),
         F.concat(F.floor(100 * F.col("value") / (F.col("value") + 100000)).cast("int").cast("string"),
                  F.lit("%")).alias("win_rate"),
-        (F.col("value") / 10000).alias("kda"),
+        (F.col("value") / 9973).alias("kda"),
     )
 
 
@@ -171,6 +171,6 @@ stats AS (
          CASE WHEN tier = 1 THEN 'S' ELSE 'A' END AS tier, country,
          CAST(CAST(floor(value / 10000) AS INTEGER) AS VARCHAR) AS games,
          CAST(CAST(floor(100 * value / (value + 100000)) AS INTEGER) AS VARCHAR) || '%' AS win_rate,
-         value / 10000 AS kda
+         value / 9973 AS kda
   FROM tiered
 )"""

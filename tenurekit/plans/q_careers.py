@@ -50,7 +50,7 @@ rec AS (
   LEFT JOIN mode_country c USING (player) LEFT JOIN mode_tier t USING (player)
 )"""
 
-CAREER_SQL = with_sql(PANEL_SQL, RULES_SQL, STATS_SQL, RECORDS_CTE) + f"""
+CAREER_SELECT = f"""
 SELECT player AS player_id,
        CASE WHEN mode_league IS NULL THEN 'Unknown' ELSE {REGION_SQL('mode_league')} END AS primary_region,
        coalesce(mode_league, 'Unknown') AS primary_league,
@@ -67,6 +67,9 @@ SELECT player AS player_id,
        CAST(tg AS BIGINT) AS total_games,
        awr AS avg_winrate, akda AS avg_kda
 FROM rec"""
+CAREER_SQL = with_sql(PANEL_SQL, RULES_SQL, STATS_SQL, RECORDS_CTE) + CAREER_SELECT
+# career_metrics as a CTE named ``cm`` for queries built on top of it
+CM_CTES = with_sql(PANEL_SQL, RULES_SQL, STATS_SQL, RECORDS_CTE) + ",\ncm AS (" + CAREER_SELECT + ")"
 
 PLAYERS_SQL = with_sql(PANEL_SQL, RULES_SQL, STATS_SQL, RECORDS_CTE) + f"""
 SELECT player AS player_id,
