@@ -48,6 +48,8 @@ def build_longitudinal(roster: DataFrame, rules: DataFrame, current_season=None,
     role) are taken from the same debut row and returned as ``debut_<col>``.
     """
     df = roster
+    if tiebreak is None and "_line" in df.columns:
+        tiebreak = "_line"
     if tiebreak is None:
         df = df.withColumn("_row", F.monotonically_increasing_id())
         tiebreak = "_row"
