@@ -22,7 +22,7 @@ from ..operators.rules import rules_frame
 from ..session import require_small
 from ..sources.tables import read_table
 
-ALL_PARTS = ("role", "region", "country", "team", "value", "date")
+ALL_PARTS = ("role", "region", "country", "team", "value", "date", "status")
 
 # Rule table for the driver panel: urgent orders are tier 1, high priority is a
 # named tier-2 league, everything else falls to the default rule.
@@ -52,8 +52,9 @@ def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driver_panel(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderpriority", "o_totalprice")
+                   "o_orderpriority", "o_totalprice", "o_orderstatus")
     df = o.select(
+        F.col("o_orderstatus").alias("status"),
         F.col("o_custkey").alias("entity"),
         F.year("o_orderdate").cast("int").alias("period"),
         F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("split"),
@@ -74,7 +75,7 @@ def driver_panel(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ALL_P
         t = first_line_supplier(spark, sf_dir)
         df = df.join(t, df.row_id == t.l_orderkey, "left")
     keep = ["entity", "period", "split", "date", "league", "value", "row_id"] + \
-        [p for p in ("role", "region", "country", "team") if p in need]
+        [p for p in ("role", "region", "country", "team", "status") if p in need]
     return df.select(*keep)
 
 
@@ -89,6 +90,7 @@ panel AS (
          o.o_orderpriority AS league,
          o.o_totalprice AS value,
          o.o_orderkey AS row_id,
+         o.o_orderstatus AS status,
          c.c_mktsegment AS role,
          r.r_name AS region,
          n.n_name AS country,
@@ -174,3 +176,44 @@ stats AS (
          value / 9973 AS kda
   FROM tiered
 )"""
+
+
+# Appearance panel for the movement operators: each order is an appearance of
+# the customer with the order's first-line supplier as team.  League is the
+# order status (F/O/P, encounter order in that list); the tier letter comes
+# from the priority: 1 -> S, 2 -> A, 3 -> B, 5 -> C, anything else '?'.
+STATUS_ORDER = ["F", "O", "P"]
+PRIORITY_TIER = {"1-URGENT": "S", "2-HIGH": "A", "3-MEDIUM": "B", "5-LOW": "C"}
+
+
+def driver_appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.clean import map_literal
+    p = driver_panel(spark, sf_dir, need=("role", "region", "team", "status"))
+    lno = F.array_position(F.array(*[F.lit(s) for s in STATUS_ORDER]), F.col("status")).cast("int")
+    d = F.date_format("date", "yyyy-MM-dd")
+    return p.where(F.col("team").isNotNull()).select(
+        F.col("entity").cast("string").alias("player"),
+        F.col("period").alias("season"),
+        F.col("period").alias("year"),
+        d.alias("date"),
+        F.col("team").cast("string").alias("team"),
+        F.col("status").alias("league"),
+        lno.alias("league_no"),
+        F.coalesce(F.element_at(map_literal(PRIORITY_TIER), F.col("league")), F.lit("?")).alias("tier"),
+        F.col("role"),
+        F.col("region"),
+        F.col("row_id").alias("row_no"),
+        F.struct(lno.alias("league_no"), d.alias("date"), F.col("row_id").alias("row_no")).alias("enc"),
+    )
+
+
+APPEARANCES_SQL = """
+app AS (
+  SELECT CAST(entity AS VARCHAR) AS player, period AS season, period AS year,
+         strftime(date, '%Y-%m-%d') AS date, CAST(team AS VARCHAR) AS team, status AS league,
+         CASE status WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 ELSE 0 END AS league_no,
+         CASE league WHEN '1-URGENT' THEN 'S' WHEN '2-HIGH' THEN 'A' WHEN '3-MEDIUM' THEN 'B'
+                     WHEN '5-LOW' THEN 'C' ELSE '?' END AS tier,
+         role, region, row_id AS row_no
+  FROM panel WHERE team IS NOT NULL
+)"""
