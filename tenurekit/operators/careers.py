@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from ..functions import clean, maps
 
 
+def _scalar_or(value, df: DataFrame, col: str) -> Column:
+    """A given season (int or scalar-subquery Column), else the newest season
+    of ``df`` as a scalar subquery."""
+    if value is None:
+        return df.agg(F.max(F.col(col).cast("int"))).scalar()
+    return value if isinstance(value, Column) else F.lit(int(value))
+
+
 def _mode_expr(attr: str) -> Column:
     """most frequent value; ties go to the value seen first."""
     return F.expr(f"min_by(v, struct(-n, first_seen)) FILTER (WHERE attr = '{attr}')")
@@ -50,10 +58,7 @@ def career_records(stats: DataFrame, *, entity: str = "player", season: str = "s
         clean.parse_percent(win_rate, "fraction").alias("wr"),
         clean.coerce_number(kda).alias("kda"),
     )
-    if latest_season is None:
-        latest = stats.agg(F.max(F.col(season).cast("int"))).scalar()
-    else:
-        latest = F.lit(int(latest_season))
+    latest = _scalar_or(latest_season, stats, season)
     # flags are projected before the aggregate (a subquery may not sit inside one)
     base = base.withColumns({"is_latest": F.col("season") == latest,
                              "is_prev": F.col("season") == latest - 1})
@@ -168,10 +173,7 @@ def career_records_workbook(stats: DataFrame, enriched: DataFrame, *, entity: st
         clean.parse_percent(win_rate, "plain").alias("wr"),
         clean.coerce_number(kda).alias("kda"),
     )
-    if latest_season is None:
-        latest = stats.agg(F.max(F.col(season).cast("int"))).scalar()
-    else:
-        latest = F.lit(int(latest_season))
+    latest = _scalar_or(latest_season, stats, season)
     base = base.withColumns({"is_latest": F.col("season") == latest,
                              "is_prev": F.col("season") == latest - 1})
     main = base.groupBy("entity").agg(
@@ -242,10 +244,7 @@ def model_frame(stats: DataFrame, *, entity: str = "player", season: str = "seas
         v = clean.parse_percent(c, "points") if parse == "percent" else clean.coerce_number(c)
         sel.append(v.alias(out))
     base = stats.select(*sel)
-    if max_season is None:
-        mx = stats.agg(F.max(F.col(season).cast("int"))).scalar()
-    else:
-        mx = F.lit(int(max_season))
+    mx = _scalar_or(max_season, stats, season)
     first_known = lambda c: F.expr(  # noqa: E731  F5
         f"min_by({c}, struct(season, row_no)) FILTER (WHERE {c} IS NOT NULL AND {c} != '')")
     agg = base.groupBy("entity").agg(

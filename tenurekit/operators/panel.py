@@ -72,6 +72,8 @@ def build_longitudinal(roster: DataFrame, rules: DataFrame, current_season=None,
     )
     if current_season is None:
         cur = roster.agg(F.max(period)).scalar()
+    elif isinstance(current_season, Column):
+        cur = current_season
     else:
         cur = F.lit(int(current_season))
     lab = dict(first_year=label_first_year, last_year=label_last_year, base=label_base)

@@ -19,7 +19,7 @@ large side is never shuffled on a skewed league key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,10 @@ RULE_SCHEMA = T.StructType([
 ])
 
 MAX_RULES = 10_000
+# Rule tables up to this size are applied as one ordered CASE expression
+# inside the scan stage (no join, no extra job); larger ones go through the
+# distinct-league theta join below.
+MAX_INLINE_RULES = 64
 
 
 def rules_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -92,9 +96,46 @@ def league_map(values: DataFrame, league_col: str, rules: DataFrame) -> DataFram
     )
 
 
+def _ordered_rules(rules: DataFrame) -> list | None:
+    """The rule rows in lookup priority, or None when there are too many to
+    inline.  Rules are configuration: at most MAX_INLINE_RULES + 1 rows are
+    brought to the driver."""
+    rows = (rules.orderBy((F.col("match_mode") == "default"), -F.length("league_pattern"), "rule_no")
+            .limit(MAX_INLINE_RULES + 1).collect())
+    return rows if len(rows) <= MAX_INLINE_RULES else None
+
+
+def rule_expr(league: Column, rows: list) -> Column:
+    """C11 as a Column: struct(tier int, region string)."""
+    l = F.trim(F.coalesce(league, F.lit("")))
+    out = None
+    default = None
+    for r in rows:
+        val = F.struct(F.lit(int(r["tier"])).alias("tier"), F.lit(r["region"]).cast("string").alias("region"))
+        if r["match_mode"] == "default":
+            if default is None:
+                default = val
+            continue
+        pat = (r["league_pattern"] or "").strip()
+        if r["match_mode"] == "exact":
+            cond = l == F.lit(pat)
+        elif r["match_mode"] == "contains":
+            cond = F.lower(l).contains(pat.lower())
+        else:
+            continue
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    if default is None:
+        default = F.struct(F.lit(2).alias("tier"), F.lit("Unknown").alias("region"))
+    return default if out is None else out.otherwise(default)
+
+
 def assign_tier_region(df: DataFrame, league_col: str, rules: DataFrame,
                        tier_col: str = "tier", region_col: str = "region_m") -> DataFrame:
     """C11 applied to every row: adds ``tier`` and ``region_m``."""
+    rows = _ordered_rules(rules)
+    if rows is not None:
+        hit = rule_expr(F.col(league_col), rows)
+        return df.withColumns({tier_col: hit["tier"], region_col: hit["region"]})
     m = league_map(df, league_col, rules)
     m = broadcast_if_small(m, MAX_BROADCAST_ROWS)
     out = df.join(m, df[league_col].eqNullSafe(m["league_key"]), "left")

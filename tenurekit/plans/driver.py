@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rules import rules_frame
-from ..session import require_small
+from ..session import broadcast_by_estimate
 from ..sources.tables import read_table
 
 ALL_PARTS = ("role", "region", "country", "team", "value", "date", "status")
@@ -33,6 +33,12 @@ DRIVER_RULES = [
 ]
 
 
+def latest_period(spark: SparkSession, sf_dir: str):
+    """Newest period as a scalar subquery over the one column it needs."""
+    o = read_table(spark, sf_dir, "orders", "o_orderdate")
+    return o.agg(F.max(F.year("o_orderdate"))).scalar()
+
+
 def driver_rules(spark: SparkSession) -> DataFrame:
     return rules_frame(spark, DRIVER_RULES)
 
@@ -40,8 +46,8 @@ def driver_rules(spark: SparkSession) -> DataFrame:
 def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-    return require_small(nr.select("n_nationkey", "n_name", "r_name"), 10_000, "nation dimension")
+    nr = n.join(broadcast_by_estimate(r), n.n_regionkey == r.r_regionkey, "left")
+    return broadcast_by_estimate(nr.select("n_nationkey", "n_name", "r_name"))
 
 
 def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:

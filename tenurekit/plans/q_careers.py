@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import maps
 from ..operators import careers
 from ..sources.tables import read_table
-from .driver import PANEL_SQL, RULES_SQL, STATS_SQL, driver_stats, with_sql
+from .driver import PANEL_SQL, RULES_SQL, STATS_SQL, driver_stats, latest_period, with_sql
 from .registry import register
 from .sqlkit import case_map, mode_cte
 
 
 def records(spark, sf_dir):
-    return careers.career_records(driver_stats(spark, sf_dir), year_base=0)
+    return careers.career_records(driver_stats(spark, sf_dir), year_base=0,
+                                  latest_season=latest_period(spark, sf_dir))
 
 
 ROLE_SQL = "coalesce(" + case_map("lower(trim(mode_role))", maps.ROLE_ALIASES) + ", 'Unknown')"
@@ -153,7 +154,7 @@ FROM j"""
 def q_workbook(spark, sf_dir):
     s = driver_stats(spark, sf_dir)
     # the workbook's plain-number win-rate rule sees text with '%' as missing
-    return careers.career_records_workbook(s, s, year_base=0)
+    return careers.career_records_workbook(s, s, year_base=0, latest_season=latest_period(spark, sf_dir))
 
 
 # model frame over the driver panel; the valid vocabularies are the
@@ -166,7 +167,8 @@ def model_frame(spark, sf_dir):
     s = driver_stats(spark, sf_dir)
     return careers.model_frame(
         s, metrics={"Avg_KDA": ("kda", "number"), "Avg_WR": ("win_rate", "percent")},
-        valid_leagues=MODEL_LEAGUES, valid_roles=MODEL_ROLES, era_cutoff=1997)
+        valid_leagues=MODEL_LEAGUES, valid_roles=MODEL_ROLES, era_cutoff=1997,
+        max_season=latest_period(spark, sf_dir))
 
 
 MODEL_SQL = with_sql(PANEL_SQL, RULES_SQL, STATS_SQL) + """

@@ -89,6 +89,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (file sizes for scans), without
+    running a job — the same statistic Spark's own broadcast rule reads."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - not available (e.g. remote sessions)
+        return None
+
+
+def broadcast_by_estimate(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
+                          max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a scanned dimension when its estimated size is under
+    ``max_bytes``; without an estimate, fall back to a row count."""
+    est = estimated_bytes(df)
+    if est is not None:
+        return F.broadcast(df) if est <= max_bytes else df
+    return broadcast_if_small(df, max_rows)
+
+
 def require_small(df: DataFrame, max_rows: int, what: str) -> DataFrame:
     """Broadcast a configuration table (rules, vocabularies) after a size check;
     a table above the bound is an input error, not something to shuffle."""
