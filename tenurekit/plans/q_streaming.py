@@ -13,14 +13,15 @@ from .driver import PANEL_SQL, driver_panel, driver_rules, with_sql
 from .q_panel import LABEL_KW, LONGITUDINAL_SQL
 from .registry import register
 
-CHUNKS = [F.col("period").between(1997, 1998), F.col("period") <= 1996, F.col("period") >= 1999]
+def chunks():
+    return [F.col("period").between(1997, 1998), F.col("period") <= 1996, F.col("period") >= 1999]
 
 
 def _replay(spark, sf_dir, refresh: bool):
     base = I.scratch_dir(spark, "replay")
     landing, history, panel = (os.path.join(base, x) for x in ("landing", "history", "panel"))
     rows = driver_panel(spark, sf_dir, need=()).select("entity", "period", "split", "league", "row_id")
-    I.land_in_chunks(rows, landing, CHUNKS)
+    I.land_in_chunks(rows, landing, chunks())
     cb = None
     if refresh:
         cb = I.panel_refresher(spark, history, panel, driver_rules(spark), entity="entity", period="period",
