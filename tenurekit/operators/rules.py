@@ -68,6 +68,12 @@ def normalize_rules(df: DataFrame, ordered: bool) -> DataFrame:
     )
 
 
+def _neg_len():
+    """Longest pattern first among matching rules; default rules keep their
+    file order (the first default row applies)."""
+    return F.when(F.col("match_mode") == "default", F.lit(0)).otherwise(-F.length(F.col("league_pattern")))
+
+
 def league_map(values: DataFrame, league_col: str, rules: DataFrame) -> DataFrame:
     """One row per distinct league value: ``(league_key, tier, region)``.
 
@@ -82,8 +88,7 @@ def league_map(values: DataFrame, league_col: str, rules: DataFrame) -> DataFram
             | (F.col("match_mode") == "default"))
     # priority: non-default before default; longer pattern first; rule order
     prio = F.struct((F.col("match_mode") == "default").alias("is_default"),
-                    (-F.length(F.col("league_pattern"))).alias("neg_len"),
-                    F.col("rule_no"))
+                    _neg_len().alias("neg_len"), F.col("rule_no"))
     hit = F.min_by(F.struct("tier", "region"), prio)
     # The null key must survive the join, so join on a null-safe surrogate.
     m = (leagues.join(rules, cond, "left")
@@ -100,7 +105,7 @@ def _ordered_rules(rules: DataFrame) -> list | None:
     """The rule rows in lookup priority, or None when there are too many to
     inline.  Rules are configuration: at most MAX_INLINE_RULES + 1 rows are
     brought to the driver."""
-    rows = (rules.orderBy((F.col("match_mode") == "default"), -F.length("league_pattern"), "rule_no")
+    rows = (rules.orderBy((F.col("match_mode") == "default"), _neg_len(), "rule_no")
             .limit(MAX_INLINE_RULES + 1).collect())
     return rows if len(rows) <= MAX_INLINE_RULES else None
 

@@ -121,7 +121,8 @@ league_map AS (
   SELECT league_key, tier, region FROM (
     SELECT l.league_key, r.tier, r.region,
            row_number() OVER (PARTITION BY l.league_key
-                              ORDER BY r.match_mode = 'default', length(r.league_pattern) DESC, r.rule_no) AS rn
+                              ORDER BY r.match_mode = 'default',
+                                       CASE WHEN r.match_mode = 'default' THEN 0 ELSE length(r.league_pattern) END DESC, r.rule_no) AS rn
     FROM (SELECT DISTINCT league AS league_key FROM panel) l
     JOIN rules r ON (r.match_mode = 'exact' AND trim(coalesce(l.league_key, '')) = trim(r.league_pattern))
                  OR (r.match_mode = 'contains' AND contains(lower(trim(coalesce(l.league_key, ''))), lower(trim(r.league_pattern))))
