@@ -320,10 +320,14 @@ def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int
     cols = ["const", *features]
     data = cut_lineage(df.select(F.col(label).cast("double").alias("_y"), F.lit(1.0).alias("const"),
                                  *[F.col(c).cast("double").alias(c) for c in features]).dropna())
-    pois = GeneralizedLinearRegression(family="poisson", link="log", labelCol="_y", featuresCol="features",
-                                       maxIter=100).fit(assemble(data, features))
-    beta = np.array([pois.intercept, *pois.coefficients.toArray()])
     p = len(cols)
+    try:
+        pois = GeneralizedLinearRegression(family="poisson", link="log", labelCol="_y", featuresCol="features",
+                                           maxIter=100).fit(assemble(data, features))
+        beta = np.array([pois.intercept, *pois.coefficients.toArray()])
+    except Exception:  # noqa: BLE001 - degenerate design: start from the mean
+        ybar = data.agg(F.avg("_y")).first()[0] or 1.0
+        beta = np.array([math.log(max(ybar, 1e-8))] + [0.0] * (p - 1))
 
     def eta_col(b):
         return sum((F.col(c) * float(b[i]) for i, c in enumerate(cols)), F.lit(0.0))
@@ -350,15 +354,17 @@ def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int
         for i in range(p):
             for j in range(i, p):
                 A[i, j] = A[j, i] = r[f"a_{i}_{j}"]
-        new = np.linalg.solve(A, bb)
+        # least squares: a level absent from the data leaves A singular
+        new = np.linalg.lstsq(A, bb, rcond=None)[0]
         done = np.max(np.abs(new - beta)) < tol
         beta = new
         alpha = alpha_for(beta)
         if done:
             break
-    cov = np.linalg.inv(A)
-    se = np.sqrt(np.diag(cov))
-    rows = [(c, float(beta[i]), float(se[i]), float(2 * _norm_sf(abs(beta[i] / se[i]))), float(alpha))
+    cov = np.linalg.pinv(A)
+    se = np.sqrt(np.clip(np.diag(cov), 0, None))
+    rows = [(c, float(beta[i]), float(se[i]),
+             float(2 * _norm_sf(abs(beta[i] / se[i]))) if se[i] > 0 else float("nan"), float(alpha))
             for i, c in enumerate(cols)]
     return spark.createDataFrame(rows, "term string, coef double, se double, p_value double, alpha double")
 
