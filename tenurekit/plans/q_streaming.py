@@ -27,7 +27,7 @@ def _replay(spark, sf_dir, refresh: bool):
         cb = I.panel_refresher(spark, history, panel, driver_rules(spark), entity="entity", period="period",
                                league="league", split="split", tiebreak="row_id", **LABEL_KW)
     I.run_ingest(spark, landing, rows.schema, history, os.path.join(base, "ckpt"), on_batch=cb,
-                 max_files_per_trigger=4)
+                 max_files_per_trigger=4, bucket_by=("entity", 64))
     return history, panel
 
 
@@ -35,7 +35,7 @@ def _replay(spark, sf_dir, refresh: bool):
 SELECT entity, period, split, league, row_id FROM panel""", ("S1", "A10", "H1"))
 def q_ingest(spark, sf_dir):
     history, _ = _replay(spark, sf_dir, refresh=False)
-    return spark.read.parquet(history)
+    return I.read_history(spark, history)
 
 
 @register("stream_panel_refresh", LONGITUDINAL_SQL, ("S2",))

@@ -2,7 +2,8 @@
 
 S1 — ingest: a file stream over a landing directory with a checkpoint, so
 every landed file is processed exactly once across restarts; each
-micro-batch is appended to the history table.
+micro-batch is written to its own ``_epoch=<id>`` folder of the history table
+(overwrite, so a replayed batch is idempotent), partitioned by entity bucket.
 
 S2 — panel refresh: in the same ``foreachBatch`` the longitudinal panel is
 recomputed for the entities the batch touched, over their *full* history
@@ -48,16 +49,26 @@ def _bucket(entity: str, n: int) -> Column:
 
 
 def run_ingest(spark: SparkSession, landing: str, schema: StructType, history: str,
-               checkpoint: str, on_batch=None, max_files_per_trigger: int | None = None) -> None:
-    """Process every file under ``landing`` once; append to ``history``;
-    optionally call ``on_batch(batch_df, epoch_id)`` after the append."""
+               checkpoint: str, on_batch=None, max_files_per_trigger: int | None = None,
+               bucket_by: tuple[str, int] | None = None) -> None:
+    """Process every file under ``landing`` once; append to ``history``
+    (partitioned by entity bucket when ``bucket_by=(entity, n)``, so later
+    per-bucket reads prune partitions); optionally call
+    ``on_batch(batch_df, epoch_id)`` after the append."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(landing)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").parquet(history)
+        # one folder per epoch, overwritten: a batch replayed after a failure
+        # replaces its own output instead of appending it twice
+        target = os.path.join(history, f"_epoch={epoch_id}")
+        if bucket_by is not None:
+            batch.withColumn("_bucket", _bucket(*bucket_by)).write.mode("overwrite") \
+                .partitionBy("_bucket").parquet(target)
+        else:
+            batch.write.mode("overwrite").parquet(target)
         if on_batch is not None:
             on_batch(batch, epoch_id)
 
@@ -72,14 +83,19 @@ def panel_refresher(spark: SparkSession, history: str, panel: str, rules: DataFr
     state = {"max_period": None}
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # newest period so far: previous value vs this batch (no history rescan)
+        bmax = batch.agg(F.max(period)).first()[0]
+        prev = state["max_period"]
+        new_max = bmax if prev is None else (prev if bmax is None else max(prev, bmax))
+        full = prev is None or new_max != prev
         hist = spark.read.parquet(history)
-        new_max = hist.agg(F.max(period)).first()[0]
-        full = state["max_period"] is None or new_max != state["max_period"]
-        rows = hist.withColumn("_bucket", _bucket(entity, n_buckets))
+        rows = hist if "_bucket" in hist.columns else hist.withColumn("_bucket", _bucket(entity, n_buckets))
         if not full:
+            # semi-join on the partition column: dynamic partition pruning
+            # reads only the touched buckets of the history
             touched = batch.select(_bucket(entity, n_buckets).alias("_bucket")).distinct()
-            rows = rows.join(touched, "_bucket", "left_semi")
-        lon = build_longitudinal(rows.drop("_bucket"), rules, int(new_max), entity=entity, period=period,
+            rows = rows.join(F.broadcast(touched), "_bucket", "left_semi")
+        lon = build_longitudinal(rows.drop("_bucket", "_epoch"), rules, int(new_max), entity=entity, period=period,
                                  **build_kw)
         out = lon.withColumn("_bucket", _bucket("player", n_buckets))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -91,3 +107,7 @@ def panel_refresher(spark: SparkSession, history: str, panel: str, rules: DataFr
 
 def read_panel(spark: SparkSession, panel: str) -> DataFrame:
     return spark.read.parquet(panel).drop("_bucket")
+
+
+def read_history(spark: SparkSession, history: str) -> DataFrame:
+    return spark.read.parquet(history).drop("_bucket", "_epoch")
