@@ -94,3 +94,52 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     return t.select(F.col("k").cast("int").alias("k"), F.col("N").cast("long").alias("n"),
                     ssb.alias("ss_between"), ssw.alias("ss_within"),
                     ((ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k")))).alias("f_statistic"))
+
+
+# --- bootstrap, cross-validation, date-order checks -------------------------
+
+# Poisson(1) cumulative probabilities for k = 0..7 (weights above 7 have
+# probability < 1e-5 and are folded into 8).
+_POISSON1_CDF = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015,
+                 0.99940582, 0.99991676, 0.99998975]
+
+
+def poisson_weight(*keys) -> "F.Column":
+    """Deterministic Poisson(1) draw from a hash of the keys (inverse CDF)."""
+    u = F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
+    w = F.lit(len(_POISSON1_CDF))
+    for k in reversed(range(len(_POISSON1_CDF))):
+        w = F.when(u < _POISSON1_CDF[k], F.lit(k)).otherwise(w)
+    return w
+
+
+def bootstrap_mean_ci(df: DataFrame, group: str, value: str, id_col: str, replicates: int = 200,
+                      seed: int = 42, alpha: float = 0.05) -> DataFrame:
+    """Percentile bootstrap interval of a group mean (Poisson bootstrap).
+
+    Each row gets a Poisson(1) weight per replicate from a hash of
+    (id, replicate, seed), so the resampling is reproducible and needs no
+    shuffle of rows: the weighted sums are pre-aggregated per (group,
+    replicate) on the map side and only those small sums are shuffled."""
+    rep = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("b")
+    x = df.where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("x"), id_col, rep)
+    w = poisson_weight(F.col(id_col).cast("string"), F.col("b"), F.lit(seed))
+    per = x.withColumn("w", w).groupBy(group, "b").agg(
+        (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("m"))
+    point = df.groupBy(group).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
+    ci = per.groupBy(group).agg(F.percentile("m", alpha / 2).alias("lo"),
+                                F.percentile("m", 1 - alpha / 2).alias("hi"),
+                                F.count(F.lit(1)).alias("replicates"))
+    return point.join(ci, group)
+
+
+def date_order_checks(checks: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Rows whose start comes after their end, per named check (one row
+    per check: total rows, rows with both dates, rows out of order)."""
+    out = None
+    for name, (df, start, end) in checks.items():
+        both = F.col(start).isNotNull() & F.col(end).isNotNull()
+        r = df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("n"),
+                   F.count_if(both).alias("n_dated"), F.count_if(both & (F.col(start) > F.col(end))).alias("n_bad"))
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -380,3 +380,20 @@ def predict_linear_exp(df: DataFrame, coefs: DataFrame, features: Sequence[str],
 
 def career_bucket_stratum(col: str) -> Column:
     return clean.career_bucket(col)
+
+
+def cross_validate_forest(df: DataFrame, features: Sequence[str], label: str, id_col: str,
+                          folds: int = 5, seed: int = 42, **rf_kw) -> DataFrame:
+    """k-fold cross-validation of the forest regressor.  Folds come from a
+    hash of the id (stable across partitionings); each fold is one
+    distributed fit on the other folds, scored on the held-out fold."""
+    spark = df.sparkSession
+    d = assemble(df, features).withColumn(
+        "_fold", F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(folds)))
+    d = cut_lineage(d)
+    out = None
+    for k in range(folds):
+        model = fit_random_forest(d.where(F.col("_fold") != k), features, label, seed=seed, **rf_kw)
+        m = regression_metrics(model.transform(d.where(F.col("_fold") == k)), label).withColumn("fold", F.lit(k))
+        out = m if out is None else out.unionByName(m)
+    return out

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import extras as X
-from .driver import APPEARANCES_SQL, PANEL_SQL, driver_appearances, with_sql
+from .driver import APPEARANCES_SQL, PANEL_SQL, RULES_SQL, driver_appearances, with_sql
+from .q_panel import LONGITUDINAL_CTE
 from .q_describe import CV, careers_view, r6, sql_r6
 from .registry import register
 
@@ -83,3 +84,49 @@ SELECT CAST(count(*) AS INTEGER) AS k, CAST(any_value(nn) AS BIGINT) AS n,
 FROM g, o""", ["ss_between", "ss_within", "f_statistic"]), ("F14",))
 def q_anova(spark, sf_dir):
     return r6(X.anova_oneway(careers_view(spark, sf_dir), "region", "career_length_years"))
+
+
+@register("extra_bootstrap_mean_ci", None, ("F14",))
+def q_bootstrap(spark, sf_dir):
+    return X.bootstrap_mean_ci(careers_view(spark, sf_dir), "region", "career_length_years", "player_id")
+
+
+@register("model_cross_validation", None, ("I6", "I7"))
+def q_cv(spark, sf_dir):
+    from .q_models import RF_FEATURES, encoded
+    from ..operators import models as M
+    return M.cross_validate_forest(encoded(spark, sf_dir), RF_FEATURES, "Career_Seasons", "Player")
+
+
+def _date_checks(spark, sf_dir):
+    from ..sources.tables import read_table
+    from .q_wiki import tournaments_view
+    from .q_panel import longitudinal
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_shipdate")
+    ship = o.join(li, o.o_orderkey == li.l_orderkey)
+    lon = longitudinal(spark, sf_dir)
+    return X.date_order_checks({
+        "order_before_ship": (ship, "o_orderdate", "l_shipdate"),
+        "tournament_start_end": (tournaments_view(spark, sf_dir), "DateStart", "DateEnd"),
+        "debut_before_first_tier1": (lon, "debut_season", "first_tier1_season"),
+        "first_tier1_before_last": (lon, "first_tier1_season", "last_season"),
+    })
+
+
+@register("extra_date_order_checks", with_sql(PANEL_SQL, RULES_SQL, LONGITUDINAL_CTE) + """
+SELECT 'order_before_ship' AS "check", count(*) AS n, count(*) FILTER (WHERE o_orderdate IS NOT NULL AND l_shipdate IS NOT NULL) AS n_dated,
+       count(*) FILTER (WHERE o_orderdate > l_shipdate) AS n_bad
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+UNION ALL
+SELECT 'tournament_start_end', count(*), count(*), count(*) FILTER (WHERE ds > de)
+FROM (SELECT strftime(min(o_orderdate), '%Y-%m-%d') AS ds, strftime(max(o_orderdate), '%Y-%m-%d') AS de
+      FROM orders GROUP BY o_orderpriority, year(o_orderdate))
+UNION ALL
+SELECT 'debut_before_first_tier1', count(*), count(*) FILTER (WHERE first_tier1_season IS NOT NULL),
+       count(*) FILTER (WHERE debut_season > first_tier1_season) FROM longitudinal
+UNION ALL
+SELECT 'first_tier1_before_last', count(*), count(*) FILTER (WHERE first_tier1_season IS NOT NULL),
+       count(*) FILTER (WHERE first_tier1_season > last_season) FROM longitudinal""", ("F30",))
+def q_date_checks(spark, sf_dir):
+    return _date_checks(spark, sf_dir)
