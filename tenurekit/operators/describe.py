@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maps
 from ..session import broadcast_if_small
+from .prefix import running_before
 
 
 def _q(c: str, p, approx: bool) -> Column:
@@ -301,10 +302,12 @@ def survival_steps(df: DataFrame, time: str, group: str | None = None) -> DataFr
     is ignored (see ``kaplan_meier`` for the censoring-aware estimate)."""
     keys = [group] if group else []
     c = df.where(F.col(time).isNotNull()).groupBy(*keys, time).agg(F.count(F.lit(1)).alias("n_at"))
-    w = Window.partitionBy(*keys).orderBy(time)
-    wall = Window.partitionBy(*keys)
-    c = c.withColumns({"before": F.coalesce(F.sum("n_at").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-                       "n": F.sum("n_at").over(wall)})
+    if keys:
+        w = Window.partitionBy(*keys).orderBy(time)
+        c = c.withColumns({"before": F.coalesce(F.sum("n_at").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+                           "n": F.sum("n_at").over(Window.partitionBy(*keys))})
+    else:  # no group: range-partitioned prefix sum instead of one global window
+        c = running_before(c, time, "n_at").withColumn("n", F.lit(c.agg(F.sum("n_at")).scalar()))
     return c.select(*keys, time, "n_at",
                     ((F.col("n") - F.col("before")) / F.col("n")).alias("surv_first"),
                     ((F.col("n") - F.col("before") - F.col("n_at") + 1) / F.col("n")).alias("surv_last"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from .prefix import running_before
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None) -> DataFrame:
@@ -41,11 +42,11 @@ def logrank(df: DataFrame, time: str, event: str, group: str, a: str, b: str) ->
         F.sum(F.when(F.col(group) == a, F.col(event).cast("long")).otherwise(0)).alias("d1"),
         F.sum(F.col(event).cast("long")).alias("d"),
         F.count_if(F.col(group) == a).alias("c1"), F.count(F.lit(1)).alias("c"))
-    before = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    allw = Window.partitionBy()
-    per = per.withColumns({
-        "n1": F.sum("c1").over(allw) - F.coalesce(F.sum("c1").over(before), F.lit(0)),
-        "n": F.sum("c").over(allw) - F.coalesce(F.sum("c").over(before), F.lit(0))})
+    # at risk = total - rows at earlier times (range-partitioned prefix sums)
+    tot1 = per.agg(F.sum("c1")).scalar()
+    tot = per.agg(F.sum("c")).scalar()
+    per = running_before(running_before(per, "t", "c1", "b1"), "t", "c", "b")
+    per = per.withColumns({"n1": tot1 - F.col("b1"), "n": tot - F.col("b")})
     e1 = F.col("d") * F.col("n1") / F.col("n")
     v = F.when(F.col("n") > 1, F.col("d") * (F.col("n1") / F.col("n")) * (1 - F.col("n1") / F.col("n"))
                * (F.col("n") - F.col("d")) / (F.col("n") - 1)).otherwise(0.0)

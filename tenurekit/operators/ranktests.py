@@ -4,8 +4,8 @@ Ranks come from a value histogram, never from a row-level global sort:
 rows are counted per (value, group) (a partial aggregate), the running
 count over the *distinct values* gives the mid-rank of each value
 (``before + (t + 1) / 2``), and rank sums per group are weighted sums over
-the histogram.  The window that accumulates counts runs over distinct values
-only (per group pair for U).  p-values are computed from the few result
+the histogram.  The running count is a range-partitioned prefix sum
+(``prefix.running_before``) for H, and a window per group pair for U.  p-values are computed from the few result
 rows by a vectorised pandas UDF (chi-square and normal tails in closed form).
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import require_small
+from .prefix import running_before
 
 
 def value_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -32,8 +33,7 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     """H with tie correction, k groups, N, degrees of freedom."""
     h = value_histogram(df, group, value)
     per_v = h.groupBy("v").agg(F.sum("c").alias("t"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_v.select("v", "t", (F.coalesce(F.sum("t").over(w), F.lit(0)) + (F.col("t") + 1) / 2.0).alias("rank"))
+    ranks = running_before(per_v, "v", "t").select("v", "t", (F.col("before") + (F.col("t") + 1) / 2.0).alias("rank"))
     ties = ranks.agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie"), F.sum("t").alias("n"))
     rs = (h.join(ranks.select("v", "rank"), "v")
           .groupBy("g").agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("c").alias("ng")))

@@ -154,3 +154,16 @@ def test_survival_and_median(spark):
     assert abs(got[("p", 2)] - math.exp(-0.1)) < 1e-12 and abs(got[("q", 6)] - math.exp(-2.7)) < 1e-12
     med = {r.profile: r.median_survival for r in M.median_survival(s, "profile").collect()}
     assert med == {"p": 5, "q": 3}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_running_before_matches_cumsum(spark, parts):
+    from tenurekit.operators.prefix import running_before
+    rng = np.random.default_rng(parts)
+    v = rng.choice(np.arange(1000), 300, replace=False).astype(float)
+    c = rng.integers(1, 5, 300)
+    df = spark.createDataFrame(pd.DataFrame({"v": v, "c": c}))
+    got = {r.v: r.before for r in running_before(df, "v", "c", partitions=parts).collect()}
+    order = np.argsort(v)
+    before = np.concatenate([[0], np.cumsum(c[order])[:-1]])
+    assert all(got[v[i]] == before[k] for k, i in enumerate(order))
