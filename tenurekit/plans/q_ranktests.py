@@ -29,10 +29,15 @@ def q_kw(spark, sf_dir):
     return r6(R.kruskal_wallis(careers_view(spark, sf_dir), "primary_league", "career_length_years"))
 
 
-@register("rank_kruskal_wallis_p", None, ("J1",))
+# chi-square upper tail for even df in closed form: exp(-x/2) * sum_{i<df/2} (x/2)^i / i!
+KW_P_SQL = sql_r6("SELECT *, CASE WHEN df % 2 = 0 THEN exp(-h / 2) * (SELECT sum(pow(h / 2, i) / factorial(CAST(i AS INTEGER))) "
+                  "FROM range(0, CAST(df / 2 AS BIGINT)) r(i)) END AS p_value FROM (" + KW_SQL + ") kw", ["h", "p_value"])
+
+
+@register("rank_kruskal_wallis_p", KW_P_SQL, ("J1",))
 def q_kw_p(spark, sf_dir):
-    return R.kruskal_wallis_p(R.kruskal_wallis(careers_view(spark, sf_dir), "primary_league",
-                                               "career_length_years"))
+    return r6(R.kruskal_wallis_p(R.kruskal_wallis(careers_view(spark, sf_dir), "primary_league",
+                                                  "career_length_years")))
 
 
 def _mw_sql(rows_sql: str) -> str:

@@ -106,3 +106,12 @@ def test_dedupe_first(spark):
                                "player string, team string, season int, date string, row_no long")
     r = M.dedupe_first(df, ["player", "team", "season"], ["date", "row_no"]).collect()
     assert len(r) == 1 and r[0].row_no == 5
+
+
+def test_append_unseen_and_reorder(spark):
+    from tenurekit.functions import clean
+    df = spark.createDataFrame([("A → B", ["B", "C", "A", "D"]), ("", ["X"]), (None, ["Y", "Y"])],
+                               "txt string, new array<string>")
+    got = [r.v for r in df.select(clean.append_unseen("txt", F.col("new")).alias("v")).collect()]
+    assert got == [["A", "B", "C", "D"], ["X"], ["Y"]]
+    assert clean.reorder_columns(["a", "b", "c", "d"], ["c", "x", "a"]) == ["c", "a", "b", "d"]
