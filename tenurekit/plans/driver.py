@@ -58,7 +58,7 @@ def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier).  The (line, supplier) pair is packed into one long so the
     aggregate is a hash aggregate with a fixed-width buffer; a row outside
     the packing bounds stops the job instead of giving a wrong answer."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", spread=True)
     ok = (F.col("l_linenumber").between(0, (1 << 23) - 1) & F.col("l_suppkey").between(0, (1 << SUPP_BITS) - 1))
     key = F.when(ok, F.col("l_linenumber").cast("long") * (1 << SUPP_BITS) + F.col("l_suppkey")) \
         .otherwise(F.raise_error(F.lit("line number or supplier key outside the packing bounds")).cast("long"))
@@ -68,7 +68,7 @@ def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driver_panel(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderpriority", "o_totalprice", "o_orderstatus")
+                   "o_orderpriority", "o_totalprice", "o_orderstatus", spread=True)
     df = o.select(
         F.col("o_orderstatus").alias("status"),
         F.col("o_custkey").alias("entity"),
