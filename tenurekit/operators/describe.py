@@ -89,15 +89,19 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 
 def duplicate_report(df: DataFrame, key: str, list_col: str | None = None) -> DataFrame:
-    """duplicate keys, distinct values of a category and their sorted list
-    (the list is over *distinct* values of a category column)."""
+    """duplicate keys and the number of distinct values of a column."""
     cols = [(F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_keys")]
     if list_col:
-        cols += [F.count_distinct(list_col).alias("n_distinct"),
-                 F.array_join(F.array_sort(F.collect_set(list_col)), ", ").alias("values")]
+        cols += [F.count_distinct(list_col).alias("n_distinct")]
     return df.agg(*cols)
 
 
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """the sorted distinct values of a column, as rows (a distributed
+    sort, never one list in one row, whatever the column's cardinality)."""
+    return df.select(col).distinct().orderBy(col)
+
+
 def pearson(a: Column, b: Column) -> Column:
     """Pearson r over rows where both are present; null when either side has
     no variance (plain ``corr`` raises on that under ANSI mode)."""

@@ -136,13 +136,18 @@ def q_missing(spark, sf_dir):
 
 
 @reg("describe_duplicates", CV + """
-SELECT count(*) - count(DISTINCT player_id) AS duplicate_keys, count(DISTINCT region) AS n_distinct,
-       array_to_string(list_sort(list_distinct(list(region))), ', ') AS "values"
+SELECT count(*) - count(DISTINCT player_id) AS duplicate_keys, count(DISTINCT region) AS n_distinct
 FROM cv""", ("F20",))
 def q_dups(spark, sf_dir):
     return D.duplicate_report(careers_view(spark, sf_dir), "player_id", "region")
 
 
+@reg("describe_distinct_values", CV + """
+SELECT DISTINCT nation FROM cv ORDER BY nation""", ("F20",))
+def q_distinct(spark, sf_dir):
+    return D.distinct_values(careers_view(spark, sf_dir), "nation")
+
+
 CORR_COLS = ["career_length_months", "num_teams", "num_regions", "starting_tier", "career_start_year"]
 
 
