@@ -133,3 +133,31 @@ SELECT CASE WHEN count(*) >= 2 THEN regr_slope(avg_team_changes_proxy, career_st
 FROM c""", ("I1",))
 def q_trends(spark, sf_dir):
     return cohort.cohort_trends(cohort.by_start_year(stab(spark, sf_dir)))
+
+
+@register("cohort_summary_report", None, ("A9", "F7", "F8", "F9", "F10", "G6"))
+def q_summary_report(spark, sf_dir):
+    """The promotion-cohort payload as one JSON document: sizes, headline,
+    league table (40 largest), role table and time histogram (as a map).
+    Only bounded parts go into the single document; the promoted-entity
+    list grows with the data and is served as rows by
+    ``cohort_promoted_detail`` instead of being packed into one value."""
+    from pyspark.sql import functions as F
+    from ..sources.landing import report_json
+    from .driver import driver_panel
+    lon = longitudinal(spark, sf_dir, debut_extra=("role",))
+    panel = driver_panel(spark, sf_dir, need=())
+    by_league = cohort.rate_by_league(lon)
+    sizes = panel.agg(F.count(F.lit(1)).alias("n_roster_rows")).select(
+        "n_roster_rows",
+        lon.agg(F.count(F.lit(1))).scalar().alias("n_unique_players_panel"),
+        by_league.agg(F.count(F.lit(1))).scalar().alias("n_debut_leagues_distinct"))
+    head = cohort.cohort_headline(lon)
+    hist = cohort.promotion_histogram(lon).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("seasons").cast("string"), "n_players"))))
+        .alias("time_histogram"))
+    top = cohort.top_leagues(by_league, 40).withColumn(
+        "_ord", F.struct(-F.col("n"), F.col("league")))
+    roles = cohort.rate_by_role(lon).withColumn("_ord", F.struct("role_rank", -F.col("n"))).drop("role_rank")
+    return report_json({"sizes": sizes, "summary": head, "time_histogram": hist,
+                        "league_table": top, "role_table": roles})

@@ -147,6 +147,8 @@ def report_json(parts: dict[str, DataFrame]) -> DataFrame:
             j = df.agg(F.to_json(F.transform(
                 F.array_sort(F.collect_list(F.struct(F.col("_ord"), F.struct(*body).alias("v")))),
                 lambda x: x["v"])).alias("j"))
+        elif body == [key]:  # a single column named like the key: its value itself
+            j = df.agg(F.to_json(F.first(F.col(key))).alias("j"))
         else:
             j = df.agg(F.to_json(F.first(F.struct(*body))).alias("j"))
         f = j.select(F.lit(i).alias("i"), F.concat(F.lit(f'"{key}":'), F.col("j")).alias("frag"))
