@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.panel import build_longitudinal
 from ..operators.rules import league_map
-from .driver import PANEL_SQL, RULES_SQL, SPLIT_RANK_SQL, driver_panel, driver_rules, with_sql
+from .driver import PANEL_SQL, RULES_SQL, SPLIT_RANK_SQL, driver_panel, driver_rules, latest_period, with_sql
 from .registry import register
 
 # Season labels on this panel: 1995 is labelled S6, through 2004.
@@ -15,7 +15,7 @@ LABEL_KW = dict(label_first_year=1995, label_last_year=2004, label_base=1989)
 
 def longitudinal(spark, sf_dir, debut_extra=()):
     panel = driver_panel(spark, sf_dir, need=tuple(debut_extra))
-    return build_longitudinal(panel, driver_rules(spark), None, entity="entity", period="period",
+    return build_longitudinal(panel, driver_rules(spark), latest_period(spark, sf_dir), entity="entity", period="period",
                               league="league", split="split", tiebreak="row_id",
                               debut_extra=tuple(debut_extra), **LABEL_KW)
 
