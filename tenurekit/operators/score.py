@@ -21,14 +21,16 @@ def validate(req: DataFrame, valid_leagues: Sequence[str] = maps.VALID_LEAGUES,
              valid_roles: Sequence[str] = maps.VALID_ROLES, debut_range=(6, 15),
              role_case: str = "capitalize") -> DataFrame:
     """League upper-cased, role capitalised (or upper-cased), debut an
-    integer in range; ``errors`` lists every failed rule."""
+    integer in range; ``errors`` lists every failed rule.  As in the
+    request schema, only an integer-typed debut counts as an integer: a text
+    or floating-point debut column fails the integer rule."""
     league = F.upper(F.coalesce(F.col("league").cast("string"), F.lit("")))
     r = F.coalesce(F.col("role").cast("string"), F.lit(""))
     role = F.upper(r) if role_case == "upper" else F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 10_000)))
-    debut_txt = F.col("debut").cast("string")
-    debut = debut_txt.try_cast("int")
+    integral = dict(req.dtypes).get("debut") in ("tinyint", "smallint", "int", "bigint")
+    debut = F.col("debut").cast("int") if integral else F.lit(None).cast("int")
     lo, hi = debut_range
-    is_int = debut.isNotNull() & (debut.cast("string") == F.trim(debut_txt))
+    is_int = F.lit(integral) & debut.isNotNull()
     errs = F.array_compact(F.array(
         F.when(~league.isin(list(valid_leagues)), F.lit(f"'league' must be one of {list(valid_leagues)}")),
         F.when(~role.isin(list(valid_roles)), F.lit(f"'role' must be one of {list(valid_roles)}")),

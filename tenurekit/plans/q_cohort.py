@@ -152,7 +152,10 @@ def q_summary_report(spark, sf_dir):
         "n_roster_rows",
         lon.agg(F.count(F.lit(1))).scalar().alias("n_unique_players_panel"),
         by_league.agg(F.count(F.lit(1))).scalar().alias("n_debut_leagues_distinct"))
-    head = cohort.cohort_headline(lon)
+    # 0-season promotions fall outside the 1..max histogram; count them beside it
+    n_zero = (cohort.tier2_cohort(lon).where(F.col("promoted_from_tier2") & (F.col("seasons_to_promotion") < 1))
+              .agg(F.count(F.lit(1))).scalar())
+    head = cohort.cohort_headline(lon).withColumn("n_promoted_outside_histogram", n_zero)
     hist = cohort.promotion_histogram(lon).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("seasons").cast("string"), "n_players"))))
         .alias("time_histogram"))

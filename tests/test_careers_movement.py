@@ -115,3 +115,13 @@ def test_append_unseen_and_reorder(spark):
     got = [r.v for r in df.select(clean.append_unseen("txt", F.col("new")).alias("v")).collect()]
     assert got == [["A", "B", "C", "D"], ["X"], ["Y"]]
     assert clean.reorder_columns(["a", "b", "c", "d"], ["c", "x", "a"]) == ["c", "a", "b", "d"]
+
+
+def test_validate_requests(spark):
+    from tenurekit.operators.score import validate
+    ok = spark.createDataFrame([("lck", "mid", 7), ("XX", "Top", 16), ("LEC", "coach", None)],
+                               "league string, role string, debut int")
+    got = [(r.league_v, r.role_v, len(r.errors)) for r in validate(ok).collect()]
+    assert got == [("LCK", "Mid", 0), ("XX", "Top", 2), ("LEC", "Coach", 2)]
+    txt = spark.createDataFrame([("LCK", "Mid", "7")], "league string, role string, debut string")
+    assert validate(txt).collect()[0].errors == ["'debut' must be an integer between 6 and 15"]
