@@ -128,3 +128,23 @@ def test_empty_input(spark):
     rules = R.rules_frame(spark, [("__DEFAULT__", "default", 2, "Unknown")])
     df = spark.createDataFrame([], "player string, year int, league string, split string, _line long")
     assert build_longitudinal(df, rules, 2025).count() == 0
+
+
+def test_longitudinal_null_skipping(spark):
+    """null_skipping takes each snapshot column's first non-null value in the
+    debut order (pandas first()); the default keeps one real row."""
+    rules = R.rules_frame(spark, [("LEC", "exact", 1, "EU"), ("__DEFAULT__", "default", 2, "Unknown")])
+    rows = [("p", 2019, None, "Spring", 1), ("p", 2019, "LEC", "Summer", 2), ("p", 2020, "X", "Spring", 3)]
+    df = spark.createDataFrame(rows, "player string, year int, league string, split string, _line long")
+    real = build_longitudinal(df, rules, 2025).collect()[0]
+    skip = build_longitudinal(df, rules, 2025, null_skipping=True).collect()[0]
+    # split rank comes first: the Spring row (null league) is the debut row;
+    # null skipping takes the first non-null league instead
+    assert real.debut_league is None and skip.debut_league == "LEC"
+    assert real.debut_tier == 2 and skip.debut_tier == 2
+    rows2 = [("q", 2019, "A", "Spring", 1, None), ("q", 2019, "B", "Summer", 2, "Mid")]
+    df2 = spark.createDataFrame(rows2, "player string, year int, league string, split string, _line long, role string")
+    r1 = build_longitudinal(df2, rules, 2025, debut_extra=("role",)).collect()[0]
+    r2 = build_longitudinal(df2, rules, 2025, debut_extra=("role",), null_skipping=True).collect()[0]
+    assert (r1.debut_league, r1.debut_role) == ("A", None)
+    assert (r2.debut_league, r2.debut_role) == ("A", "Mid")
