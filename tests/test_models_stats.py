@@ -167,3 +167,13 @@ def test_running_before_matches_cumsum(spark, parts):
     order = np.argsort(v)
     before = np.concatenate([[0], np.cumsum(c[order])[:-1]])
     assert all(got[v[i]] == before[k] for k, i in enumerate(order))
+
+
+def test_histogram_constant_and_approx(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 5.0)], "g int, x double")
+    h = D.histogram_equal_width(df, "x", 4).collect()
+    assert [(r.bin, r["count"]) for r in h] == [(0, 3)]
+    fixed = {r.bin: r["count"] for r in D.histogram_fixed(df, "x", [0.0, 5.0, 10.0]).collect()}
+    assert fixed == {1: 3}
+    a = D.group_stats(df, "g", "x", approx=True).collect()
+    assert all(r.median == 5.0 for r in a)
