@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,3 +37,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of finished steps: they stay until
+    the driver's JVM happens to collect the plans that no one holds any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

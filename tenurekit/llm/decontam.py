@@ -197,7 +197,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str
     return out
 
 
-def _cut(text: str, hits: list[int]) -> str:
+def _cut(text: str | None, hits: list[int]) -> str | None:
+    if text is None:
+        return None
     raw, kept, upto = text.encode("utf-8", "surrogatepass"), [], 0
     for a, z in zip(hits[2::4], hits[3::4]):
         kept.append(raw[upto:a])

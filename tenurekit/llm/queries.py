@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality_rules
-from .base import table
+from . import decontam, html_main, kn_lm, lang_id, license_scan, mixing, near_dup, pii_weak, quality_fm, quality_rules
+from .base import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,6 +71,73 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+# ---- 2 quality classifier -------------------------------------------------
+
+
+@_register("op2_quality_fm")
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc() % 4 == 2
+    machine = quality_fm.train(docs.filter(~held_out), table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+# ---- 3 license scan -------------------------------------------------------
+
+
+@_register("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda x: F.concat_ws(":", x["label"], x["start_word"], x["end_word"], x["edits"]))
+    return found.withColumn("spans", F.array_join(spans, ","))
+
+
+# ---- 4 near duplicates ----------------------------------------------------
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT r, doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT r, doc_id, count(*) AS n FROM sh GROUP BY r, doc_id),
+pairs AS (
+  SELECT a.r AS ra, b.r AS rb, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r
+  WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY ALL),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM pairs JOIN n x ON x.r = ra JOIN n y ON y.r = rb
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT DISTINCT doc_id AS a, doc_id AS b FROM w WHERE doc_id IS NOT NULL
+  UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(w.doc_id = component_id, TRUE) AS kept
+FROM w LEFT JOIN n USING (r) LEFT JOIN comp ON w.doc_id = comp.doc_id"""
+
+
+@_register("op4_near_dup", OP4_SQL)
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(table(spark, sf_dir, "documents"))
+
+
+# ---- 5 language model -------------------------------------------------------
+
+
+@_register("op5_kneser_ney")
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_lm.score(table(spark, sf_dir, "documents"))
+
+
+# ---- 6 personal data --------------------------------------------------------
+
+
+@_register("op6_pii_weak")
+def op6_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_weak.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 # ---- 7 benchmark decontamination ----------------------------------------
 
 OP7_SQL = r"""
@@ -102,6 +170,25 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# ---- 8 language identification ----------------------------------------------
+
+
+@_register("op8_lang_id")
+def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc() % 3 == 1
+    model = lang_id.learn(docs.filter(~held_out))
+    return lang_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+# ---- 9 main text of pages -----------------------------------------------------
+
+
+@_register("op9_html_main")
+def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 # ---- 10 mixing ------------------------------------------------------------
 
 OP10_SQL = r"""
