@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenurekit.llm import decontam, mixing, quality_rules
+from tenurekit.llm import decontam, mixing, near_dup, pii_weak, quality_rules
 from tenurekit.llm.base import stored, table
 
 
@@ -19,11 +19,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs)
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return near_dup.drop_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; ``n_chars`` follows the text."""
+    return pii_weak.redact(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often the mix takes each document, with its text."""
     sized = docs.select("doc_id", "text", "source", mixing.word_count(docs["text"]).alias("size"))
@@ -32,7 +42,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("minhash_near_dedup", deduplicate),
     ("benchmark_decontamination", decontaminate),
+    ("personal_data", redact),
     ("mixing", mix),
 ]
 
