@@ -12,8 +12,8 @@ population count estimates high similarities precisely.
    in each round every class is compared only with the smallest member of its
    buckets, the one nearest by odd sketch, and buckets that have become one
    component leave.  After ``STAR_ROUNDS`` such rounds, what is left are pairs
-   across components in a common bucket whose sketches are near enough; these
-   are all taken, the nearest of each class first.
+   across components in a common bucket whose sketches are near enough; the
+   nearest of each class is taken first, then all that still lie across.
 3. Every candidate link is confirmed on the full sets: 100 * |A and B| >=
    80 * |A or B|.  Components are closed by hooking and pointer jumping over
    tables, nothing is collected.
@@ -201,7 +201,7 @@ def components(docs: DataFrame) -> DataFrame:
     def settle(pairs: DataFrame) -> None:
         nonlocal labels, failed
         checked = stored(confirm(pairs, sets), "dup-checked")
-        bad = checked.filter("NOT ok").select("a", "b")
+        bad = checked.filter("NOT ok").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         failed = bad if failed is None else failed.union(bad)
         labels = stored(close_components(labels, checked.filter("ok")), "dup-labels")
 
@@ -211,7 +211,8 @@ def components(docs: DataFrame) -> DataFrame:
                .filter("hub.comp <> most").select("key", F.col("hub.id").alias("b"), F.col("hub.comp").alias("hc")))
         pairs = now.join(hub, "key").filter("comp <> hc").select(F.col("id").alias("a"), "b").distinct()
         if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+            tried = failed.union(failed.select("b", "a"))
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         best = near(pairs).groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
         settle(best)
 
@@ -222,19 +223,19 @@ def components(docs: DataFrame) -> DataFrame:
     x = rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
     y = rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
     d = _distance("ka", "kb")
-    across = x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb")) & _similar_sizes("na", "nb") & (d <= MAX_XOR))
-    across = across.select(F.col("a"), F.col("b"), d.alias("d")).distinct()
-    both = across.union(across.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    across = stored(both.join(failed, ["a", "b"], "left_anti"), "dup-across")
-    while True:
-        c = labels
-        left = (across.join(failed, ["a", "b"], "left_anti").join(c.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a")
-                .join(c.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b").filter("ca <> cb").select("a", "b", "d"))
-        best = left.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-        best = stored(best, "dup-best")
-        if best.limit(1).count() == 0:
-            break
-        settle(best)
+    across = x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                    & _similar_sizes("na", "nb") & (d <= MAX_XOR))
+    across = across.select("a", "b", d.alias("d")).distinct()
+    across = stored(across.join(failed, ["a", "b"], "left_anti"), "dup-across")
+
+    def still_apart() -> DataFrame:
+        x, y = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+        return across.join(x, "a").join(y, "b").filter("ca <> cb").join(failed, ["a", "b"], "left_anti").select("a", "b", "d")
+
+    # first the nearest partner of each, which joins most of what belongs together; then every pair left
+    nearest = still_apart().groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    settle(nearest)
+    settle(still_apart().select("a", "b"))
 
     comp = members.join(labels, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("comp"))
     # an id with several texts belongs to all their components: join those too

@@ -124,8 +124,49 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- 5 language model -------------------------------------------------------
 
-
-@_register("op5_kneser_ney")
+OP5_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_append(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' end') AS w,
+         xor(list_reduce(list_concat([4294967295], list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: x <> ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 2 AS held_out
+  FROM documents, tab),
+tok AS (
+  SELECT r, held_out, unnest(w) AS w, unnest(list_prepend(' begin', list_slice(w, 1, len(w) - 1))) AS h FROM d),
+c1 AS (SELECT w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY w),
+tot AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c1),
+c2 AS (SELECT h, w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY h, w),
+ctx AS (SELECT h, sum(c) AS c, count_if(c = 1) AS n1, count_if(c = 2) AS n2, count_if(c >= 3) AS n3 FROM c2 GROUP BY h),
+cont AS (SELECT w, count(*) AS a FROM c2 GROUP BY w),
+coc AS (
+  SELECT 'high' AS k, count_if(c = 1)::DOUBLE AS n1, count_if(c = 2)::DOUBLE AS n2, count_if(c = 3)::DOUBLE AS n3, count_if(c = 4)::DOUBLE AS n4 FROM c2
+  UNION ALL SELECT 'low', count_if(a = 1), count_if(a = 2), count_if(a = 3), count_if(a = 4) FROM cont),
+y AS (SELECT *, CASE WHEN n1 + n2 > 0 THEN n1 / (n1 + 2 * n2) ELSE 0.5 END AS y FROM coc),
+disc AS (
+  SELECT k, least(greatest(CASE WHEN n1 > 0 THEN 1 - 2 * y * n2 / n1 ELSE 0.5 END, 0), 1) AS d1,
+         least(greatest(CASE WHEN n2 > 0 THEN 2 - 3 * y * n3 / n2 ELSE 1 END, 0), 2) AS d2,
+         least(greatest(CASE WHEN n3 > 0 THEN 3 - 4 * y * n4 / n3 ELSE 1.5 END, 0), 3) AS d3 FROM y),
+lo AS (
+  SELECT sum(a)::DOUBLE AS total, (any_value(d1) * count_if(a = 1) + any_value(d2) * count_if(a = 2) + any_value(d3) * count_if(a >= 3)) / sum(a) AS rest
+  FROM cont, disc WHERE k = 'low'),
+low AS (SELECT w, (a - CASE WHEN a = 1 THEN d1 WHEN a = 2 THEN d2 ELSE d3 END) / total AS p FROM cont, disc, lo WHERE k = 'low'),
+p AS (
+  SELECT tok.r, coalesce(c1.c, 0) AS c, n, v,
+         coalesce(low.p, 0) + coalesce(lo.rest, 1) / (v + 1) AS pl,
+         CASE WHEN c2.c IS NULL THEN 0 ELSE (c2.c - CASE WHEN c2.c = 1 THEN d1 WHEN c2.c = 2 THEN d2 ELSE d3 END) / ctx.c END AS ph,
+         CASE WHEN ctx.c IS NULL THEN 1 ELSE (d1 * ctx.n1 + d2 * ctx.n2 + d3 * ctx.n3) / ctx.c END AS g
+  FROM tok CROSS JOIN tot CROSS JOIN lo JOIN disc ON disc.k = 'high' LEFT JOIN c1 USING (w) LEFT JOIN low USING (w)
+  LEFT JOIN ctx ON ctx.h = tok.h LEFT JOIN c2 ON c2.h = tok.h AND c2.w = tok.w),
+s AS (
+  SELECT r, count(*) AS n_tokens, count_if(c > 0) AS n_known, any_value(n) AS n, sum(log10((c + 1) / (n + v + 1))) AS base, sum(log10(ph + g * pl)) AS score
+  FROM p GROUP BY r)
+SELECT doc_id, held_out, n_tokens::BIGINT AS n_tokens, n_known::BIGINT AS n_known, n AS train_tokens, base AS base_score, score FROM d JOIN s USING (r)"""
+
+
+@_register("op5_kneser_ney", OP5_SQL)
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kn_lm.score(table(spark, sf_dir, "documents"))
 
