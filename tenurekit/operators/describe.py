@@ -1,10 +1,9 @@
 """Descriptive statistics and data-quality reports (F14–F30, F34, F36, F37,
 D3, D8, D9, G5).
 
-Everything is a grouped or global aggregate.  Exact medians / quartiles use
-``percentile`` (its buffer is a count per distinct value); pass
-``approx=True`` for wide continuous columns to use ``percentile_approx``
-instead.  Skewness is the bias-corrected sample form; Spark's built-in
+Everything is a grouped or global aggregate.  Exact medians / quartiles come
+from value histograms with range-partitioned running counts
+(``prefix.exact_quantiles``); ``approx=True`` uses ``percentile_approx``.  Skewness is the bias-corrected sample form; Spark's built-in
 ``skewness`` is the population form and is corrected here.
 """
 
@@ -17,11 +16,23 @@ from pyspark.sql import functions as F
 
 from ..functions import maps
 from ..session import broadcast_if_small
-from .prefix import running_before
+from .prefix import exact_quantiles, running_before
 
 
-def _q(c: str, p, approx: bool) -> Column:
-    return F.percentile_approx(c, p, 10000) if approx else F.percentile(c, p)
+def _with_quantiles(aggregated: DataFrame, df: DataFrame, value: str, probs: dict[str, float],
+                    by: Sequence[str], approx: bool) -> DataFrame:
+    """Quantile columns joined to an aggregate of ``df`` by the same groups."""
+    if approx:
+        q = df.groupBy(*by).agg(*[F.percentile_approx(value, p, 10000).alias(k) for k, p in probs.items()])
+    else:
+        q = exact_quantiles(df, value, probs, by)
+    if not by:  # one row each
+        return aggregated.withColumns({k: F.lit(q.select(k).scalar()) for k in probs})
+    q = q.withColumnsRenamed({c: f"_q_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_q_{c}"))
+    return aggregated.join(q, same, "left").drop(*[f"_q_{c}" for c in by])
 
 
 def sample_skew(c: str) -> Column:
@@ -34,24 +45,23 @@ def group_stats(df: DataFrame, group: str, value: str, approx: bool = False,
                 quantiles: Sequence[float] = ()) -> DataFrame:
     """mean, median, sample std, count per group (plus any extra
     quantiles, e.g. 0.75), ordered by mean descending."""
-    extra = [_q(value, q, approx).alias(f"p{int(q * 100)}") for q in quantiles]
-    return (df.groupBy(group).agg(F.avg(value).alias("mean"), _q(value, 0.5, approx).alias("median"),
-                                  F.stddev_samp(value).alias("std"), F.count(value).alias("count"), *extra)
-            .orderBy(F.col("mean").desc()))
+    extra = {f"p{int(q * 100)}": q for q in quantiles}
+    out = df.groupBy(group).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(value).alias("count"))
+    out = _with_quantiles(out, df, value, {"median": 0.5, **extra}, [group], approx)
+    return out.select(group, "mean", "median", "std", "count", *extra).orderBy(F.col("mean").desc())
 
 
 def scalar_summary(df: DataFrame, value: str, status: str | None = None,
                    approx: bool = False) -> DataFrame:
     """F16: mean, median, std, min, max, skew, IQR, active %, retired %."""
-    cols = [F.avg(value).alias("mean"), _q(value, 0.5, approx).alias("median"),
-            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
-            sample_skew(value).alias("skew"),
-            (_q(value, 0.75, approx) - _q(value, 0.25, approx)).alias("iqr"),
-            F.count(F.lit(1)).alias("n")]
+    cols = [F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
+            F.max(value).alias("max"), sample_skew(value).alias("skew"), F.count(F.lit(1)).alias("n")]
     if status:
         cols += [(100.0 * F.avg((F.col(status) == "Active").cast("double"))).alias("active_pct"),
                  (100.0 * F.avg((F.col(status) == "Retired").cast("double"))).alias("retired_pct")]
-    return df.agg(*cols)
+    out = _with_quantiles(df.agg(*cols), df, value, {"median": 0.5, "_p25": 0.25, "_p75": 0.75}, [], approx)
+    return out.select("mean", "median", "std", "min", "max", "skew", (F.col("_p75") - F.col("_p25")).alias("iqr"), "n",
+                      *(["active_pct", "retired_pct"] if status else []))
 
 
 def to_long(df: DataFrame, cols: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:
@@ -64,11 +74,11 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
     """count/mean/std/min/25%/50%/75%/max per column with exact
     quartiles (``DataFrame.summary`` is approximate)."""
     long = to_long(df, cols)
-    return long.groupBy("column").agg(
+    out = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        _q("value", 0.25, approx).alias("p25"), _q("value", 0.5, approx).alias("p50"),
-        _q("value", 0.75, approx).alias("p75"), F.max("value").alias("max"))
+        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    out = _with_quantiles(out, long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"], approx)
+    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def value_counts(df: DataFrame, col: str, top_k: int | None = None, by_key: bool = False) -> DataFrame:
@@ -166,8 +176,7 @@ def box_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> Da
     outlier counts per group, ordered by median descending.  The quartile
     table (one row per group) is joined back to the rows (broadcast after a
     row-count check)."""
-    q = df.groupBy(group).agg(_q(value, 0.25, approx).alias("q1"), _q(value, 0.5, approx).alias("median"),
-                              _q(value, 0.75, approx).alias("q3"))
+    q = _with_quantiles(df.select(group).distinct(), df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], approx)
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     j = df.select(group, value).join(broadcast_if_small(q), group)

@@ -9,6 +9,8 @@ are windows over those tables, not over rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,10 +101,9 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
 
 # --- bootstrap, cross-validation, date-order checks -------------------------
 
-# Poisson(1) cumulative probabilities for k = 0..7 (weights above 7 have
-# probability < 1e-5 and are folded into 8).
-_POISSON1_CDF = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015,
-                 0.99940582, 0.99991676, 0.99998975]
+# Poisson(1) cumulative probabilities for k = 0..12, the resolution of the
+# 30-bit hash that draws from them.
+_POISSON1_CDF = [math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(13)]
 
 
 def poisson_weight(*keys) -> "F.Column":

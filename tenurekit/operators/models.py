@@ -22,14 +22,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
+from .prefix import exact_quantiles, running_before
 
 
 # --- preparation ------------------------------------------------------------
 
 def median_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """I4: exact medians (linear interpolation, like pandas) in one pass."""
-    return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols])
+    """I4: exact medians (linear interpolation, like pandas), from the value
+    counts of all columns at once."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_column", "_value")
+    q = exact_quantiles(long, "_value", {"_median": 0.5}, ["_column"])
+    return q.agg(*[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c) for c in cols])
 
 
 def impute_medians(df: DataFrame, cols: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
@@ -48,14 +52,20 @@ def one_hot(df: DataFrame, col: str, levels: Sequence[str], reference: str, pref
 
 def split_train_test(df: DataFrame, id_col: str, seed: int = 42, test_pct: int = 20,
                      stratum: Column | None = None) -> DataFrame:
-    """Deterministic hash split, ``test_pct`` % test in expectation in
-    every stratum, independent of partitioning.  Adds ``split`` and
-    ``stratum`` (career-length bucket by default)."""
-    h = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(100))
-    out = df.withColumn("split", F.when(h < test_pct, "test").otherwise("train"))
-    if stratum is not None:
-        out = out.withColumn("stratum", stratum)
-    return out
+    """Deterministic split by the md5 of (id, seed), ``test_pct`` % test
+    in expectation in every stratum, independent of partitioning.  The lowest
+    draw of each stratum is always test and, where there are two rows or
+    more, the highest always train, so no stratum goes without either.  Adds
+    ``split`` and ``stratum``."""
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    out = df.withColumn("_draw", F.struct(draw.alias("draw"), F.col(id_col).cast("string").alias("id")))
+    out = out.withColumn("stratum", stratum if stratum is not None else F.lit("all"))
+    ends = out.groupBy(F.col("stratum").alias("_s")).agg(F.min("_draw").alias("_lo"), F.max("_draw").alias("_hi"))
+    out = out.join(broadcast_if_small(ends), F.col("stratum").eqNullSafe(F.col("_s")))
+    test = (F.col("_draw") == F.col("_lo")) | ((F.col("_draw.draw") % 100 < test_pct) & (F.col("_draw") != F.col("_hi")))
+    out = out.withColumn("split", F.when(test, "test").otherwise("train")).drop("_draw", "_s", "_lo", "_hi")
+    return out if stratum is not None else out.drop("stratum")
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -156,6 +166,55 @@ def _time_sums(data: DataFrame, beta: np.ndarray, zc: list[str], dur: str, ev: s
     return rows
 
 
+def _digamma(x: float) -> float:
+    out = 0.0
+    while x < 8.0:
+        out, x = out - 1.0 / x, x + 1.0
+    y = 1.0 / (x * x)
+    return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y * (1 / 132)))))
+
+
+def _trigamma(x: float) -> float:
+    out = 0.0
+    while x < 8.0:
+        out, x = out + 1.0 / (x * x), x + 1.0
+    y = 1.0 / (x * x)
+    return out + (1 + 0.5 / x + y * (1 / 6 - y * (1 / 30 - y * (1 / 42 - y * (1 / 30 - y * (5 / 66)))))) / x
+
+
+def _power_means(d: int, top: int) -> list[float]:
+    """sum over l < d of (l / d)^k for k = 0..top (Bernoulli's formula)."""
+    bernoulli = [1.0]
+    for m in range(1, top + 1):
+        bernoulli.append(-sum(math.comb(m + 1, j) * bernoulli[j] for j in range(m)) / (m + 1))
+    return [sum(math.comb(k + 1, j) * bernoulli[j] * float(d) ** (1 - j) for j in range(k + 1)) / (k + 1) for k in range(top + 1)]
+
+
+def tie_sums(s0: float, d0: float, d: int) -> tuple[float, float, float, float, float, float]:
+    """Efron's sums over the d tied events of one time, with f = l / d and
+    a = s0 - f d0: of log a, 1/a, f/a, 1/a^2, f/a^2 and f^2/a^2.
+
+    Few ties are summed one by one.  Many take a constant number of steps: a
+    power series in d0 / s0 where that is small, else the gamma function and
+    its derivatives (a = (d0 / d) (m - l) with m = d s0 / d0)."""
+    if d <= 64 or d0 <= 0:
+        f = np.arange(d) / d
+        a = s0 - f * d0
+        return (float(np.log(a).sum()), float((1 / a).sum()), float((f / a).sum()), float((1 / a**2).sum()),
+                float((f / a**2).sum()), float((f * f / a**2).sum()))
+    x = d0 / s0
+    if x < 0.05:
+        p = _power_means(d, 14)
+        return (d * math.log(s0) - sum(x**k / k * p[k] for k in range(1, 13)), sum(x**k * p[k] for k in range(13)) / s0,
+                sum(x**k * p[k + 1] for k in range(13)) / s0, sum((k + 1) * x**k * p[k] for k in range(13)) / s0**2,
+                sum((k + 1) * x**k * p[k + 1] for k in range(13)) / s0**2, sum((k + 1) * x**k * p[k + 2] for k in range(13)) / s0**2)
+    m, unit = d / x, d0 / d
+    logs = d * math.log(unit) + math.lgamma(m + 1) - math.lgamma(m - d + 1)
+    a1 = (_digamma(m + 1) - _digamma(m - d + 1)) / unit
+    a2 = (_trigamma(m - d + 1) - _trigamma(m + 1)) / unit**2
+    return logs, a1, (s0 * a1 - d) / d0, a2, (s0 * a2 - a1) / d0, (s0 * s0 * a2 - 2 * s0 * a1 + d) / d0**2
+
+
 def _efron(rows, p: int):
     ll, g, H = 0.0, np.zeros(p), np.zeros((p, p))
     S0, S1, S2 = 0.0, np.zeros(p), np.zeros((p, p))
@@ -180,14 +239,11 @@ def _efron(rows, p: int):
         zsum = np.array([r[f"z_{i}"] or 0.0 for i in range(p)])
         ll += r["deta"] or 0.0
         g += zsum
-        for l in range(dcount):
-            f = l / dcount
-            a0 = S0 - f * D0
-            a1 = S1 - f * D1
-            a2 = S2 - f * D2
-            ll -= math.log(a0)
-            g -= a1 / a0
-            H -= a2 / a0 - np.outer(a1, a1) / (a0 * a0)
+        logs, a1, b1, a2, b2, c2 = tie_sums(S0, D0, dcount)
+        ll -= logs
+        g -= S1 * a1 - D1 * b1
+        cross = np.outer(S1, D1)
+        H -= S2 * a1 - D2 * b1 - (np.outer(S1, S1) * a2 - (cross + cross.T) * b2 + np.outer(D1, D1) * c2)
     return ll, g, H, risk0
 
 
@@ -217,7 +273,7 @@ def fit_cox(df: DataFrame, duration: str, event: str, features: Sequence[str],
     rows = _time_sums(data, beta, zc, "_t", "_e")
     ll, g, H, _ = _efron(rows, p)
     obj = ll - pen(beta)
-    it = 0
+    it, converged = 0, False
     for it in range(1, max_iter + 1):
         gp = g - n * penalizer * beta
         Hp = H - n * penalizer * np.eye(p)
@@ -231,13 +287,18 @@ def fit_cox(df: DataFrame, duration: str, event: str, features: Sequence[str],
             rows_n = _time_sums(data, nb, zc, "_t", "_e")
             ll_n, g_n, H_n, _ = _efron(rows_n, p)
             obj_n = ll_n - pen(nb)
-            if obj_n >= obj - 1e-12 or t < 1e-4:
+            if obj_n >= obj - 1e-9 * max(1.0, abs(obj)) or t < 1e-4:
                 break
             t /= 2.0
+        if obj_n < obj - 1e-9 * max(1.0, abs(obj)):  # no step improves: keep the point reached
+            break
         delta = np.max(np.abs(nb - beta))
         beta, ll, g, H, obj, rows = nb, ll_n, g_n, H_n, obj_n, rows_n
         if delta < tol:
+            converged = True
             break
+    if not converged:
+        raise ValueError(f"the Cox fit did not converge in {it} steps")
     Hp = H - n * penalizer * np.eye(p)
     cov = np.linalg.inv(-Hp)
     se_std = np.sqrt(np.diag(cov))
@@ -257,50 +318,90 @@ def fit_cox(df: DataFrame, duration: str, event: str, features: Sequence[str],
         cum += dcount / s0 if s0 > 0 else 0.0
         bl.append((float(t_), float(cum)))
     baseline = spark.createDataFrame(bl, "time double, cum_hazard double")
-    info = {"iterations": it, "loglik": ll, "n": n, "means": dict(zip(features, mean.tolist()))}
+    info = {"iterations": it, "converged": converged, "loglik": ll, "n": n, "means": dict(zip(features, mean.tolist()))}
     return coefs, baseline, info
 
 
+def coefficient_map(coefs: DataFrame) -> Column:
+    """All coefficients as one map: a scalar subquery over the few terms."""
+    return coefs.agg(F.map_from_entries(F.collect_list(F.struct("term", "coef")))).scalar()
+
+
 def partial_hazard(df: DataFrame, coefs: DataFrame, means: dict[str, float], out: str = "risk") -> DataFrame:
-    """exp((x - x̄)·β) with β taken from the coefficient frame by scalar
-    subqueries (no collect)."""
+    """exp((x - x̄)·β) with β read from the coefficient frame by one scalar
+    subquery (no collect)."""
+    b = F.col("_coefs")
     eta = F.lit(0.0)
     for c, m in means.items():
-        b = coefs.where(F.col("term") == c).select("coef").scalar()
-        eta = eta + (F.col(c).cast("double") - F.lit(float(m))) * b
-    return df.withColumn(out, F.exp(eta))
+        eta = eta + (F.col(c).cast("double") - F.lit(float(m))) * F.element_at(b, F.lit(c))
+    return df.withColumn("_coefs", coefficient_map(coefs)).withColumn(out, F.exp(eta)).drop("_coefs")
 
 
 def concordance(df: DataFrame, time: str, event: str, score: str) -> DataFrame:
     """Harrell's C.  A pair (i, j) is comparable when T_i < T_j and i had
     the event; concordant when score_i < score_j (higher score = longer
-    survival), ties in score count ½.  Rows are first reduced to
-    (time, score) groups with event / total counts and the pair count is a
-    join of that group table with itself on time_j > time_i."""
+    survival), ties in score count ½.
+
+    No pair is built.  Rows are reduced to (time, score) groups and scores to
+    dense ranks.  Two ranks first differ at one binary digit, so concordant
+    pairs are counted digit by digit: among the ranks that share the digits
+    above it, events with digit 0 against later rows with digit 1.  Tied and
+    comparable pairs are counted the same way over equal ranks and over all
+    rows.  The later rows come from one running sum, split by range, over
+    (digit, prefix, time)."""
     g = df.groupBy(F.col(time).cast("double").alias("t"), F.col(score).cast("double").alias("s")).agg(
         F.sum(F.col(event).cast("long")).alias("ne"), F.count(F.lit(1)).alias("na"))
-    a = g.where(F.col("ne") > 0).select(F.col("t").alias("ta"), F.col("s").alias("sa"), "ne")
-    b = g.select(F.col("t").alias("tb"), F.col("s").alias("sb"), "na")
-    pairs = a.join(b, F.col("tb") > F.col("ta"))
-    w = F.col("ne") * F.col("na")
-    return pairs.agg(
-        F.sum(F.when(F.col("sa") < F.col("sb"), w).otherwise(0)).alias("concordant"),
-        F.sum(F.when(F.col("sa") == F.col("sb"), w).otherwise(0)).alias("tied"),
-        F.sum(w).alias("comparable"),
-    ).withColumn("c_index", (F.col("concordant") + 0.5 * F.col("tied")) / F.col("comparable"))
+    g = cut_lineage(g.dropna(subset=["t", "s"]))
+    ranks = running_before(g.select("s").distinct().withColumn("one", F.lit(1)), "s", "one", "r").select("s", "r")
+    g = g.join(ranks, "s")
+    digits = max(1, int(g.agg(F.max("r")).first()[0] or 0).bit_length())
+    r = F.col("r").cast("long")
+    kinds = [F.struct(F.lit(-2).alias("d"), F.lit(0).cast("long").alias("k"), F.col("ne").alias("e"), F.col("na").alias("a")),
+             F.struct(F.lit(-1).alias("d"), r.alias("k"), F.col("ne").alias("e"), F.col("na").alias("a"))]
+    for d in range(digits):
+        one = F.shiftright(r, d).bitwiseAND(F.lit(1)) == 1
+        kinds.append(F.struct(F.lit(d).alias("d"), F.shiftright(r, d + 1).alias("k"),
+                              F.when(one, 0).otherwise(F.col("ne")).alias("e"), F.when(one, F.col("na")).otherwise(0).alias("a")))
+    rows = (g.select("t", F.explode(F.array(*kinds)).alias("x")).select("t", "x.*")
+            .groupBy("d", "k", "t").agg(F.sum("e").alias("e"), F.sum("a").alias("a")))
+    upto = F.col("before") + F.col("a")
+    exact = lambda c: c.cast("decimal(38,0)")  # noqa: E731 - products of counts pass a long
+    per = running_before(rows, ["d", "k", "t"], "a").groupBy("d", "k").agg(
+        F.max(upto).alias("end"), F.sum("e").alias("e"), F.sum(exact(F.col("e").cast("decimal(19,0)") * upto.cast("decimal(19,0)"))).alias("eu"))
+    pairs = per.select("d", exact(F.col("end").cast("decimal(19,0)") * F.col("e").cast("decimal(19,0)") - F.col("eu")).alias("w"))
+    out = pairs.agg(*[F.coalesce(F.sum(F.when(c, F.col("w"))), F.lit(0)).cast("long").alias(k) for k, c in (
+        ("concordant", F.col("d") >= 0), ("tied", F.col("d") == -1), ("comparable", F.col("d") == -2))])
+    return out.withColumn("c_index", F.try_divide(F.col("concordant") + 0.5 * F.col("tied"), F.col("comparable")))
+
+
+def baseline_hazards(baseline: DataFrame, times: Sequence[int]) -> Column:
+    """[H0(t) for t in times] as one scalar subquery: H0 is the step function
+    of the baseline (last baseline time <= t, 0 before the first)."""
+    return baseline.agg(F.array(*[F.coalesce(F.max_by("cum_hazard", F.when(F.col("time") <= t, F.col("time"))), F.lit(0.0))
+                                  for t in times])).scalar()
+
+
+def survival_curve(profiles: DataFrame, baseline: DataFrame, risk_col: str = "risk", out: str = "curve",
+                   times: Sequence[int] = tuple(range(1, 11))) -> DataFrame:
+    """I11 row by row: S(t) = exp(-H0(t)·risk) for ``times`` as an array."""
+    return (profiles.withColumn("_h0", baseline_hazards(baseline, times))
+            .withColumn(out, F.transform("_h0", lambda h: F.exp(-h * F.col(risk_col)))).drop("_h0"))
+
+
+def median_time(curve: Column, times: Sequence[int] = tuple(range(1, 11))) -> Column:
+    """First t with S(t) <= 0.5, else the last t."""
+    tt = F.array(*[F.lit(int(t)) for t in times])
+    return F.coalesce(F.get(F.filter(F.zip_with(tt, curve, lambda t, s: F.when(s <= 0.5, t)), lambda t: t.isNotNull()), F.lit(0)),
+                      F.lit(int(times[-1])))
 
 
 def survival_at(profiles: DataFrame, baseline: DataFrame, risk_col: str = "risk",
                 times: Sequence[int] = tuple(range(1, 11))) -> DataFrame:
-    """S(t) = exp(-H0(t)·risk) for t in ``times``; H0 is the step
-    function of the baseline (last baseline time <= t)."""
-    spark = profiles.sparkSession
-    tt = spark.createDataFrame([(int(t),) for t in times], "t int")
-    h0 = (tt.join(baseline, baseline.time <= tt.t, "left").groupBy("t")
-          .agg(F.coalesce(F.max_by("cum_hazard", "time"), F.lit(0.0)).alias("h0")))
-    return (profiles.withColumn("t", F.explode(F.array(*[F.lit(int(t)) for t in times])))
-            .join(F.broadcast(h0), "t")
-            .withColumn("surv", F.exp(-F.col("h0") * F.col(risk_col))).drop("h0"))
+    """I11 as rows: one (profile, t, surv) row for each of ``times``."""
+    c = survival_curve(profiles, baseline, risk_col, "_curve", times)
+    kept = [F.col(x) for x in profiles.columns]
+    rows = c.select(*kept, F.posexplode("_curve").alias("_i", "surv"))
+    return rows.select(*kept, F.element_at(F.array(*[F.lit(int(t)) for t in times]), F.col("_i") + 1).alias("t"), "surv")
 
 
 def median_survival(surv: DataFrame, key: str) -> DataFrame:
@@ -311,9 +412,9 @@ def median_survival(surv: DataFrame, key: str) -> DataFrame:
 
 # --- negative binomial (IRLS with moment-estimated dispersion) ----------------
 
-def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int = 50,
+def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int = 100,
                tol: float = 1e-8) -> DataFrame:
-    """NB2 regression.  Start from a Poisson GLM, estimate the dispersion
+    """NB2 regression.  Start from the mean, estimate the dispersion
     α by moments, then IRLS with weights μ/(1+αμ); each step is one Spark
     aggregate of XᵀWX and XᵀWz (p×p), solved on the driver."""
     spark = df.sparkSession
@@ -321,13 +422,8 @@ def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int
     data = cut_lineage(df.select(F.col(label).cast("double").alias("_y"), F.lit(1.0).alias("const"),
                                  *[F.col(c).cast("double").alias(c) for c in features]).dropna())
     p = len(cols)
-    try:
-        pois = GeneralizedLinearRegression(family="poisson", link="log", labelCol="_y", featuresCol="features",
-                                           maxIter=100).fit(assemble(data, features))
-        beta = np.array([pois.intercept, *pois.coefficients.toArray()])
-    except Exception:  # noqa: BLE001 - degenerate design: start from the mean
-        ybar = data.agg(F.avg("_y")).first()[0] or 1.0
-        beta = np.array([math.log(max(ybar, 1e-8))] + [0.0] * (p - 1))
+    ybar = data.agg(F.avg("_y")).first()[0] or 1.0
+    beta = np.array([math.log(max(ybar, 1e-8))] + [0.0] * (p - 1))
 
     def eta_col(b):
         return sum((F.col(c) * float(b[i]) for i, c in enumerate(cols)), F.lit(0.0))
@@ -361,6 +457,8 @@ def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int
         alpha = alpha_for(beta)
         if done:
             break
+    else:
+        raise ValueError(f"the negative binomial fit did not converge in {max_iter} steps")
     cov = np.linalg.pinv(A)
     se = np.sqrt(np.clip(np.diag(cov), 0, None))
     rows = [(c, float(beta[i]), float(se[i]),
@@ -371,11 +469,12 @@ def fit_negbin(df: DataFrame, label: str, features: Sequence[str], max_iter: int
 
 def predict_linear_exp(df: DataFrame, coefs: DataFrame, features: Sequence[str], out: str = "predicted",
                        digits: int = 2) -> DataFrame:
-    """exp(const + x·β) rounded; β read by scalar subqueries."""
-    eta = coefs.where(F.col("term") == "const").select("coef").scalar()
+    """exp(const + x·β) rounded; β read by one scalar subquery."""
+    b = F.col("_coefs")
+    eta = F.element_at(b, F.lit("const"))
     for c in features:
-        eta = eta + F.col(c).cast("double") * coefs.where(F.col("term") == c).select("coef").scalar()
-    return df.withColumn(out, F.round(F.exp(eta), digits))
+        eta = eta + F.col(c).cast("double") * F.element_at(b, F.lit(c))
+    return df.withColumn("_coefs", coefficient_map(coefs)).withColumn(out, F.round(F.exp(eta), digits)).drop("_coefs")
 
 
 def career_bucket_stratum(col: str) -> Column:

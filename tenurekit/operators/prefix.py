@@ -1,30 +1,36 @@
-"""Exclusive running sums over an ordered column without a single-partition
-window.
+"""Exclusive running sums over ordered columns without a single-partition
+window, and exact quantiles from them.
 
 ``repartitionByRange`` splits the (distinct-value) table into P ordered
 ranges; a window inside each range gives the local running sum and the range
 total; a P-row table of range totals gives each range's offset.  Every
 partition holds about 1/P of the values, so the sum never funnels through
-one task.
+one task.  The ranged table is checkpointed, so that local sums and offsets
+come from the same split.
 """
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
-def running_before(df: DataFrame, order_col: str, value_col: str, out: str = "before",
+def running_before(df: DataFrame, order_col: str | Sequence[str], value_col: str, out: str = "before",
                    partitions: int | None = None) -> DataFrame:
-    """Adds ``out`` = sum of ``value_col`` over rows strictly earlier in
-    ``order_col`` (ties in ``order_col`` must not occur: use it on a table
-    of distinct values)."""
+    """Adds ``out`` = sum of ``value_col`` over rows strictly earlier in the
+    order of ``order_col`` (one column or several; ties must not occur: use it
+    on a table of distinct values)."""
     spark = df.sparkSession
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(p, order_col).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumns({"_local": F.coalesce(F.sum(value_col).over(local), F.lit(0)),
-                       "_ptot": F.sum(value_col).over(Window.partitionBy("_pid"))})
+    r = df.repartitionByRange(p, *order).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    r = cut_lineage(r.withColumns({"_local": F.coalesce(F.sum(value_col).over(local), F.lit(0)),
+                                   "_ptot": F.sum(value_col).over(Window.partitionBy("_pid"))}))
     tot = r.groupBy("_pid").agg(F.max("_ptot").alias("_ptot"))
     # offsets over the P-row table of range totals (P is the partition count)
     offs = tot.select("_pid", F.coalesce(F.sum("_ptot").over(
@@ -32,3 +38,35 @@ def running_before(df: DataFrame, order_col: str, value_col: str, out: str = "be
     return (r.join(F.broadcast(offs), "_pid")
             .withColumn(out, F.col("_local") + F.col("_off"))
             .drop("_pid", "_local", "_ptot", "_off"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles (linear interpolation between ranks): one column for
+    each name in ``probs``, one row for each group of ``by`` that has a value.
+
+    Rows are counted by (group, value); running counts over that table, split
+    by range, give the ranks, so neither a wide column nor a hot group has to
+    fit one task."""
+    by = list(by)
+    hist = (df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+            .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranked = running_before(hist, [*by, "_v"], "_c", "_before")
+    base = ranked.groupBy(*by).agg(F.min("_before").alias("_base"), F.sum("_c").alias("_n"))
+    base = base.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], "_base", "_n")
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    if by:
+        ranked = ranked.join(base, same)
+    else:
+        ranked = ranked.withColumns({"_base": F.lit(0), "_n": F.lit(hist.agg(F.sum("_c")).scalar())})
+    first = F.col("_before") - F.col("_base")
+    aggs = {}
+    for name, p in probs.items():
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs[f"_{end}_{name}"] = F.max(F.when((first <= rank) & (rank < first + F.col("_c")), F.col("_v")))
+    got = ranked.groupBy(*by).agg(F.max("_n").alias("_n"), *[v.alias(k) for k, v in aggs.items()])
+    out = [((F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}")) * ((F.col("_n") - 1) * p - F.floor((F.col("_n") - 1) * p)))).alias(k)
+           for k, p in probs.items()]
+    return got.select(*by, *out)

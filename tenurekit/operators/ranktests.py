@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import require_small
+from ..session import broadcast_if_small
 from .prefix import running_before
 
 
@@ -39,14 +39,13 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     s = rs.agg(F.sum(F.col("r") * F.col("r") / F.col("ng")).alias("s"), F.count(F.lit(1)).alias("k"))
     n = ties.select("n").scalar()
     tie = ties.select("tie").scalar()
-    raw = 12.0 / (n * (n + 1)) * F.col("s") - 3.0 * (n + 1)
-    corr = 1.0 - tie / (F.pow(n, 3) - n)
+    raw = F.try_divide(F.lit(12.0), n * (n + 1)) * F.col("s") - 3.0 * (n + 1)
+    corr = 1.0 - F.try_divide(tie, F.pow(n, 3) - n)  # 0 when all values tie: no H then
     return s.select(F.col("k").cast("long").alias("k"), n.cast("long").alias("n"),
-                    (raw / corr).alias("h"), (F.col("k") - 1).cast("int").alias("df"))
+                    F.try_divide(raw, corr).alias("h"), (F.col("k") - 1).cast("int").alias("df"))
 
 
-def mann_whitney_pairs(df: DataFrame, group: str, value: str, pairs: DataFrame | None = None,
-                       max_pairs: int = 10_000) -> DataFrame:
+def mann_whitney_pairs(df: DataFrame, group: str, value: str, pairs: DataFrame | None = None) -> DataFrame:
     """U statistic of group a vs b for every pair (a < b), with the
     tie term needed for the normal approximation.  ``pairs`` (columns a, b)
     restricts the pairs; default all pairs of observed groups."""
@@ -54,7 +53,7 @@ def mann_whitney_pairs(df: DataFrame, group: str, value: str, pairs: DataFrame |
     if pairs is None:
         gs = h.select("g").distinct()
         pairs = (gs.select(F.col("g").alias("a")).join(gs.select(F.col("g").alias("b")), F.col("a") < F.col("b")))
-    pairs = require_small(pairs, max_pairs, "group pair list")
+    pairs = broadcast_if_small(pairs)
     # histogram of each pair's pooled sample: counts of a and b at each value
     ha = h.join(pairs, h.g == pairs.a).select("a", "b", "v", F.col("c").alias("ca"), F.lit(0).cast("long").alias("cb"))
     hb = h.join(pairs, h.g == pairs.b).select("a", "b", "v", F.lit(0).cast("long").alias("ca"), F.col("c").alias("cb"))
@@ -96,12 +95,12 @@ def _chi2_sf(x: float, k: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def chi2_sf(x: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([_chi2_sf(float(a), int(b)) for a, b in zip(x, k)])
+    return pd.Series([None if pd.isna(a) else _chi2_sf(float(a), int(b)) for a, b in zip(x, k)], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
 def normal_two_sided_p(z: pd.Series) -> pd.Series:
-    return pd.Series([math.erfc(abs(v) / math.sqrt(2.0)) if v == v else float("nan") for v in z])
+    return pd.Series([None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0)) for v in z], dtype="float64")
 
 
 def kruskal_wallis_p(kw: DataFrame) -> DataFrame:
@@ -113,9 +112,9 @@ def mann_whitney_p(mw: DataFrame, continuity: bool = True) -> DataFrame:
     n1, n2 = F.col("n_a"), F.col("n_b")
     n = n1 + n2
     mu = n1 * n2 / 2.0
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1))))
     u = F.greatest("u_a", "u_b")
-    z = (u - mu - (0.5 if continuity else 0.0)) / sigma
+    z = F.try_divide(u - mu - (0.5 if continuity else 0.0), sigma)  # null when all values tie
     return mw.withColumn("z", z).withColumn("p_value", normal_two_sided_p(F.col("z")))
 
 

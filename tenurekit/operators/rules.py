@@ -8,7 +8,9 @@ A rule row is ``(league_pattern, match_mode, tier, region)`` with
   case-sensitively; ``contains`` tests whether the lower-cased pattern is a
   substring of the lower-cased league;
 * otherwise the first ``default`` rule applies; with none, ``(2, 'Unknown')``;
-* a null league is treated as ``''``.
+* a null league is treated as ``''``; a rule without a pattern (null) matches
+  nothing, an empty ``contains`` pattern matches every league;
+* "trimmed" removes any white space at either end.
 
 Plan shape: the theta condition is evaluated only on the *distinct* league
 values (a partial aggregate, so each map task ships its few distinct values),
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import MAX_BROADCAST_ROWS, broadcast_if_small, require_small
+from ..session import MAX_BROADCAST_ROWS, broadcast_if_small
 
 RULE_SCHEMA = T.StructType([
     T.StructField("league_pattern", T.StringType()),
@@ -32,10 +34,10 @@ RULE_SCHEMA = T.StructType([
     T.StructField("region", T.StringType()),
 ])
 
-MAX_RULES = 10_000
 # Rule tables up to this size are applied as one ordered CASE expression
 # inside the scan stage (no join, no extra job); larger ones go through the
-# distinct-league theta join below.
+# distinct-league theta join below.  Both read the patterns and leagues as
+# normalised by ``normalize_rules`` and ``_league``, so they agree on every row.
 MAX_INLINE_RULES = 64
 
 
@@ -59,7 +61,8 @@ def normalize_rules(df: DataFrame, ordered: bool) -> DataFrame:
         df = df.withColumn("rule_no", F.monotonically_increasing_id())
     return df.select(
         F.col("league_pattern"),
-        F.lower(F.trim(F.coalesce(F.col("match_mode"), F.lit("contains")))).alias("match_mode"),
+        _strip(F.col("league_pattern")).alias("pattern"),
+        F.lower(_strip(F.coalesce(F.col("match_mode"), F.lit("contains")))).alias("match_mode"),
         F.coalesce(F.trim(F.col("tier")).try_cast("int"),
                    F.trim(F.col("tier")).try_cast("double").try_cast("int"),
                    F.lit(2)).alias("tier"),
@@ -68,10 +71,24 @@ def normalize_rules(df: DataFrame, ordered: bool) -> DataFrame:
     )
 
 
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
+def _league(c: Column) -> Column:
+    return _strip(F.coalesce(c, F.lit("")))
+
+
+def _hits(league: Column, mode, pattern: Column) -> Column:
+    """Whether a non-default rule matches a normalised league."""
+    return F.coalesce(((mode == "exact") & (league == pattern))
+                      | ((mode == "contains") & F.lower(league).contains(F.lower(pattern))), F.lit(False))
+
+
 def _neg_len():
     """Longest pattern first among matching rules; default rules keep their
     file order (the first default row applies)."""
-    return F.when(F.col("match_mode") == "default", F.lit(0)).otherwise(-F.length(F.col("league_pattern")))
+    return F.when(F.col("match_mode") == "default", F.lit(0)).otherwise(-F.coalesce(F.length(F.col("league_pattern")), F.lit(0)))
 
 
 def league_map(values: DataFrame, league_col: str, rules: DataFrame) -> DataFrame:
@@ -79,13 +96,9 @@ def league_map(values: DataFrame, league_col: str, rules: DataFrame) -> DataFram
 
     ``league_key`` is the raw value (nulls kept as their own key).
     """
-    rules = require_small(rules, MAX_RULES, "rule table")
+    rules = broadcast_if_small(rules, MAX_BROADCAST_ROWS)
     leagues = values.select(F.col(league_col).alias("league_key")).distinct()
-    l = F.trim(F.coalesce(F.col("league_key"), F.lit("")))
-    pat = F.trim(F.col("league_pattern"))
-    cond = (((F.col("match_mode") == "exact") & (l == pat))
-            | ((F.col("match_mode") == "contains") & F.lower(l).contains(F.lower(pat)))
-            | (F.col("match_mode") == "default"))
+    cond = (F.col("match_mode") == "default") | _hits(_league(F.col("league_key")), F.col("match_mode"), F.col("pattern"))
     # priority: non-default before default; longer pattern first; rule order
     prio = F.struct((F.col("match_mode") == "default").alias("is_default"),
                     _neg_len().alias("neg_len"), F.col("rule_no"))
@@ -112,7 +125,7 @@ def _ordered_rules(rules: DataFrame) -> list | None:
 
 def rule_expr(league: Column, rows: list) -> Column:
     """C11 as a Column: struct(tier int, region string)."""
-    l = F.trim(F.coalesce(league, F.lit("")))
+    l = _league(league)
     out = None
     default = None
     for r in rows:
@@ -121,13 +134,9 @@ def rule_expr(league: Column, rows: list) -> Column:
             if default is None:
                 default = val
             continue
-        pat = (r["league_pattern"] or "").strip()
-        if r["match_mode"] == "exact":
-            cond = l == F.lit(pat)
-        elif r["match_mode"] == "contains":
-            cond = F.lower(l).contains(pat.lower())
-        else:
+        if r["pattern"] is None or r["match_mode"] not in ("exact", "contains"):
             continue
+        cond = _hits(l, F.lit(r["match_mode"]), F.lit(r["pattern"]))
         out = F.when(cond, val) if out is None else out.when(cond, val)
     if default is None:
         default = F.struct(F.lit(2).alias("tier"), F.lit("Unknown").alias("region"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, maps
+from ..session import broadcast_if_small
 from . import models as M
 
 
@@ -26,7 +27,7 @@ def validate(req: DataFrame, valid_leagues: Sequence[str] = maps.VALID_LEAGUES,
     or floating-point debut column fails the integer rule."""
     league = F.upper(F.coalesce(F.col("league").cast("string"), F.lit("")))
     r = F.coalesce(F.col("role").cast("string"), F.lit(""))
-    role = F.upper(r) if role_case == "upper" else F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 10_000)))
+    role = F.upper(r) if role_case == "upper" else F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.expr("substring(coalesce(cast(role as string), ''), 2)")))
     integral = dict(req.dtypes).get("debut") in ("tinyint", "smallint", "int", "bigint")
     debut = F.col("debut").cast("int") if integral else F.lit(None).cast("int")
     lo, hi = debut_range
@@ -78,12 +79,12 @@ def score(req: DataFrame, *, nb_coefs: DataFrame, cox_coefs: DataFrame, baseline
     nb_feats = [c for c in enc.columns if c.startswith("League_") or c.startswith("Role_")] + ["Early_Era"]
     enc = M.predict_linear_exp(enc, nb_coefs, nb_feats, "predicted_seasons")
     enc = M.partial_hazard(enc, cox_coefs, cox_means, "risk")
-    keys = ["request_id"]
-    surv = M.survival_at(enc.where(ok).select(*keys, "risk"), baseline)
-    curve = surv.groupBy(*keys).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("t", F.round("surv", 4))))).alias("survival_probs"),
-        F.coalesce(F.min(F.when(F.col("surv") <= 0.5, F.col("t"))), F.max("t")).alias("survival_50pct"))
-    out = enc.join(curve, keys, "left").join(F.broadcast(labels), "league_v", "left")
+    # the curve is computed row by row, so requests may repeat an id
+    enc = M.survival_curve(enc, baseline, "risk", "_curve")
+    enc = enc.withColumns({
+        "survival_probs": F.map_from_arrays(F.array(*[F.lit(t) for t in range(1, 11)]), F.transform("_curve", lambda s: F.round(s, 4))),
+        "survival_50pct": M.median_time(F.col("_curve"))})
+    out = enc.join(broadcast_if_small(labels), "league_v", "left")
     return out.select(
         "request_id", F.col("name"), F.col("league_v").alias("league"), F.col("role_v").alias("role"),
         F.col("debut_v").alias("debut"),

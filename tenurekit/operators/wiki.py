@@ -13,7 +13,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import require_small
+from ..session import broadcast_if_small
 
 
 def _expr(e) -> Column:
@@ -128,17 +128,16 @@ def lookup_ids(players: DataFrame, keys: DataFrame, id_col: str = "ID") -> DataF
     return players.join(keys.select(id_col).distinct(), id_col, "left_semi")
 
 
-def name_probe(names: DataFrame, probes: Iterable[str] | DataFrame, name_col: str = "Player",
-               max_probes: int = 10_000) -> DataFrame:
+def name_probe(names: DataFrame, probes: Iterable[str] | DataFrame, name_col: str = "Player") -> DataFrame:
     """For each probe name: found by exact match; if not found, one row
     per distinct name containing it (case-insensitive) as a suggestion.  Rows
     rather than a list, so a probe that matches many names never builds one
-    big value.  The probe list is broadcast after a size check; the names
-    table is streamed through the nested-loop match."""
+    big value.  The probe list is broadcast where its row count allows; the
+    names table is streamed through the nested-loop match."""
     spark = names.sparkSession
     if not isinstance(probes, DataFrame):
         probes = spark.createDataFrame([(p,) for p in probes], "probe string")
-    probes = require_small(probes.select("probe").distinct(), max_probes, "probe list")
+    probes = broadcast_if_small(probes.select("probe").distinct())
     distinct_names = names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
     exact = (distinct_names.join(probes, F.col("name") == F.col("probe"), "inner")
              .select("probe").distinct().withColumn("found", F.lit(True)))

@@ -50,25 +50,17 @@ def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broadcast_by_estimate(nr.select("n_nationkey", "n_name", "r_name"))
 
 
-SUPP_BITS = 40  # supplier keys < 2^40, line numbers < 2^23 (TPC-H: 1..7)
-
-
 def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier of each order's first line (lowest line number, then lowest
-    supplier).  The (line, supplier) pair is packed into one long so the
-    aggregate is a hash aggregate with a fixed-width buffer; a row outside
-    the packing bounds stops the job instead of giving a wrong answer."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", spread=True)
-    ok = (F.col("l_linenumber").between(0, (1 << 23) - 1) & F.col("l_suppkey").between(0, (1 << SUPP_BITS) - 1))
-    key = F.when(ok, F.col("l_linenumber").cast("long") * (1 << SUPP_BITS) + F.col("l_suppkey")) \
-        .otherwise(F.raise_error(F.lit("line number or supplier key outside the packing bounds")).cast("long"))
-    return li.groupBy("l_orderkey").agg(
-        F.pmod(F.min(key), F.lit(1 << SUPP_BITS)).alias("team"))
+    """Supplier of each order's first line: lowest line number, then lowest
+    supplier, nulls last."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
+    order = F.struct(F.col("l_linenumber").isNull(), F.col("l_linenumber"), F.col("l_suppkey").isNull(), F.col("l_suppkey"))
+    return li.groupBy("l_orderkey").agg(F.min_by("l_suppkey", order).alias("team"))
 
 
 def driver_panel(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderpriority", "o_totalprice", "o_orderstatus", spread=True)
+                   "o_orderpriority", "o_totalprice", "o_orderstatus")
     df = o.select(
         F.col("o_orderstatus").alias("status"),
         F.col("o_custkey").alias("entity"),

@@ -67,7 +67,18 @@ def split_frame(spark, sf_dir):
                               stratum=clean.career_bucket("Career_Seasons"))
 
 
-@register("model_split_counts", None, ("I5", "C21"))
+SPLIT_SQL = MF_CTE + """,
+st AS (SELECT "Player" AS player, "Career_Seasons" AS y,
+              CASE WHEN "Career_Seasons" <= 1 THEN '1' WHEN "Career_Seasons" <= 2 THEN '2' WHEN "Career_Seasons" <= 3 THEN '3'
+                   WHEN "Career_Seasons" <= 5 THEN '4-5' ELSE '6+' END AS stratum,
+              ('0x' || substr(md5("Player"::VARCHAR || ':42'), 1, 8))::BIGINT AS draw FROM mf),
+ends AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY draw, player::VARCHAR) AS up,
+                row_number() OVER (PARTITION BY stratum ORDER BY draw DESC, player::VARCHAR DESC) AS down FROM st),
+sp AS (SELECT *, CASE WHEN up = 1 OR (draw % 100 < 20 AND down > 1) THEN 'test' ELSE 'train' END AS split FROM ends)
+"""
+
+
+@register("model_split_counts", SPLIT_SQL + "SELECT stratum, split, count(*) AS n FROM sp GROUP BY 1, 2", ("I5", "C21"))
 def q_split(spark, sf_dir):
     return split_frame(spark, sf_dir).groupBy("stratum", "split").agg(F.count(F.lit(1)).alias("n"))
 

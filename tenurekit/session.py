@@ -59,11 +59,13 @@ def apply_scale_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    When it is unset (local runs only) a fresh scratch folder is created and
-    registered; on a cluster the setting is always present and used as is.
+    When it is unset in a local run, a fresh scratch folder is created and
+    registered; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set; a cluster needs a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tenurekit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -7,7 +7,6 @@ index: increasing through each file), and read many files as one scan.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +44,22 @@ def read_roster(spark: SparkSession, path: str) -> DataFrame:
     return df.where(F.col("player").isNotNull() & (F.trim(F.col("player")) != ""))
 
 
-def season_files(csv_dir: str, seasons=range(6, 16), pattern: str = "player_careers_S{n}.csv") -> list[str]:
-    """Existing season files only (missing seasons are skipped)."""
-    out = []
-    for n in seasons:
-        p = os.path.join(csv_dir, pattern.format(n=n))
-        if os.path.exists(p):
-            out.append(p)
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; a missing folder
+    is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(path))
+
+
+def season_files(spark: SparkSession, csv_dir: str, seasons=None, pattern: str = "player_careers_S{n}.csv") -> list[str]:
+    """The season files of a folder, in season order: all there are, or those
+    of ``seasons`` that exist.  No match at all is an error."""
+    shape = re.compile(re.escape(pattern).replace(re.escape("{n}"), r"(\d+)"))
+    found = {int(m[1]): n for n in list_names(spark, csv_dir) if (m := shape.fullmatch(n))}
+    out = [f"{csv_dir.rstrip('/')}/{found[n]}" for n in sorted(found) if seasons is None or n in seasons]
+    if not out:
+        raise FileNotFoundError(f"no file like {pattern} in {csv_dir}")
     return out
 
 
@@ -73,15 +81,15 @@ def load_sheet_dirs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFram
     """A2: workbook sheets landed as one directory each.  Directories named
     ``S<digits>`` are season sheets (one frame, season from the name); the
     first directory whose name contains 'career' is the enrichment sheet."""
-    names = sorted(os.listdir(root)) if os.path.isdir(root) else []
+    names = list_names(spark, root)
     season_dirs = [n for n in names if re.fullmatch(r"S\d+", n)]
     career = next((n for n in names if "career" in n.lower()), None)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in SEASON_STAT_COLUMNS])
-    paths = [os.path.join(root, n) for n in season_dirs]
+    paths = [f"{root.rstrip('/')}/{n}" for n in season_dirs]
     seasons = (spark.read.schema(schema).option("header", True).csv(paths)
                .withColumn("season", F.regexp_extract(F.col("_metadata.file_path"), r"/S(\d+)/", 1).try_cast("int"))
                if paths else None)
-    enr = (with_file_order(spark.read.option("header", True).csv(os.path.join(root, career)))
+    enr = (with_file_order(spark.read.option("header", True).csv(f"{root.rstrip('/')}/{career}"))
            if career else None)
     return with_file_order(seasons) if seasons is not None else None, enr
 
@@ -99,7 +107,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def normalize_json_payload(raw: DataFrame, text_col: str, item_schema: T.StructType,
-                           wrappers=("rows", "data", "records")) -> DataFrame:
+                           wrappers=("rows", "data", "records")) -> tuple[DataFrame, DataFrame]:
     """Each input row holds one JSON payload: a root array of objects, an
     object wrapping such an array under one of ``wrappers``, or a wiki-style
     ``cargoquery`` array of ``{title: {...}}``.  Non-object items are dropped;

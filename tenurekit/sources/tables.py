@@ -35,17 +35,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread: bool = False) -> DataFrame:
-    """Column-pruned read.  ``spread=True`` (fact tables) spreads a scan
-    that yields fewer partitions than the session's parallelism — a single
-    large file or row group — across all cores; a scan that already has
-    enough partitions (any real, multi-file table) is left untouched, so no
-    shuffle is added at scale."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Column-pruned read."""
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     df = reader.parquet(table_path(sf_dir, name))
-    df = df.select(*cols) if cols else df
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-    return df
+    return df.select(*cols) if cols else df

@@ -27,7 +27,7 @@ def test_season_csvs(spark):
                 + _line("Zed", "-", "13%", "T2", "LEC", "Top", "A") + "\n")
     with open(os.path.join(d, "player_careers_S8.csv"), "w") as f:
         f.write(HEADER + "\n" + _line("113", "38.5", "17.40%", "T3", "LCK", "Mid", "S") + "\n")
-    paths = L.season_files(d)
+    paths = L.season_files(spark, d)
     assert [os.path.basename(p) for p in paths] == ["player_careers_S6.csv", "player_careers_S8.csv"]
     df = L.load_season_csvs(spark, paths)
     assert sorted(r.season for r in df.select("season").collect()) == [6, 6, 8]
