@@ -14,6 +14,10 @@ population count estimates high similarities precisely.
    component leave.  After ``STAR_ROUNDS`` such rounds, what is left are pairs
    across components in a common bucket whose sketches are near enough; the
    nearest of each class is taken first, then all that still lie across.
+   A second odd sketch, of the whole set, prunes without loss: its XOR count
+   never passes the true symmetric difference, so pairs above what the
+   similarity allows are certainly no links.  Thus near misses within a family
+   of copies do not leave the join that meets them.
 3. Every candidate link is confirmed on the full sets: 100 * |A and B| >=
    80 * |A or B|.  Components are closed by hooking and pointer jumping over
    tables, nothing is collected.
@@ -45,6 +49,7 @@ WORDS = 4
 BANDS, ROWS = 32, 5
 SKETCH_LONGS = 8
 PERCENT = 80
+WHOLE_LONGS = 32
 STAR_ROUNDS = 2
 #: sketches further apart than this come from similarities below about 0.6
 _N_BITS, _N_SAMPLES = 64 * SKETCH_LONGS, BANDS * ROWS
@@ -88,6 +93,13 @@ def odd_sketch(m: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def whole_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a whole set as longs."""
+    n = 64 * WHOLE_LONGS
+    odd = (np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, fp1, fp2, bands, sketch = [], [], [], [], []
@@ -115,8 +127,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, b, offsets in tv.text_chunks(batch.column("text")):
-            out = [s.view(np.int64) for s in shingle_sets(b, offsets)]
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(out, pa.list_(pa.int64()))], ["id", "shingles"])
+            sets = list(shingle_sets(b, offsets))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(lo, hi - lo), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([whole_sketch(s) for s in sets], pa.list_(pa.int64()))], ["id", "shingles", "whole"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -126,10 +140,10 @@ def signatures(docs: DataFrame) -> DataFrame:
     return d.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch array<long>")
 
 
-def _distance(a: str, b: str) -> Column:
+def _distance(a: str, b: str, longs: int = SKETCH_LONGS) -> Column:
     """Bits in which two sketches differ."""
     d = F.lit(0)
-    for i in range(SKETCH_LONGS):
+    for i in range(longs):
         d = d + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
     return d
 
@@ -139,6 +153,13 @@ def _similar_sizes(a: str, b: str) -> Column:
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
+def _may_link(x: str = "a", y: str = "b") -> Column:
+    """Whether sizes and both sketches of two rows allow a link."""
+    total = F.col(f"n{x}") + F.col(f"n{y}")
+    return (_similar_sizes(f"n{x}", f"n{y}") & (_distance(f"k{x}", f"k{y}") <= MAX_XOR)
+            & ((100 + PERCENT) * _distance(f"w{x}", f"w{y}", WHOLE_LONGS) <= (100 - PERCENT) * total))
+
+
 def close_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(id, comp) where comp is the smallest id reachable over ``links`` (a, b)
     and the components that ``labels`` (id, comp) already has."""
@@ -183,20 +204,20 @@ def components(docs: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     buckets = stored(keys.join(shared, "key"), "dup-buckets")
     busy = buckets.select("id").distinct()
-    sketches = stored(heads.select("id", "n_shingles", "sketch").join(busy, "id"), "dup-sketches")
     # the texts of the classes that have candidates, repeated rows once
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(busy, "id", "left_semi").dropDuplicates(["id", "text"])
     kind = busy.schema["id"].dataType.simpleString()
-    sets = stored(texts.mapInArrow(_sets, f"id {kind}, shingles array<long>"), "dup-sets")
+    sets = stored(texts.mapInArrow(_sets, f"id {kind}, shingles array<long>, whole array<long>"), "dup-sets")
+    sketches = stored(sets.select("id", "whole").join(heads.select("id", "n_shingles", "sketch"), "id"), "dup-sketches")
     labels = stored(busy.select("id", F.col("id").alias("comp")), "dup-labels")
-    sa = sketches.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
-    sb = sketches.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
+    sa = sketches.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"), F.col("whole").alias("wa"))
+    sb = sketches.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"), F.col("whole").alias("wb"))
     failed = None
 
     def near(pairs: DataFrame) -> DataFrame:
         """Pairs that sizes and sketches allow, with the sketch distance."""
-        rows = pairs.join(sa, "a").join(sb, "b").filter(_similar_sizes("na", "nb"))
-        return rows.select("a", "b", _distance("ka", "kb").alias("d")).filter(F.col("d") <= MAX_XOR)
+        rows = pairs.join(sa, "a").join(sb, "b").filter(_may_link())
+        return rows.select("a", "b", _distance("wa", "wb", WHOLE_LONGS).alias("d"))
 
     def settle(pairs: DataFrame) -> None:
         nonlocal labels, failed
@@ -220,12 +241,10 @@ def components(docs: DataFrame) -> DataFrame:
     now = buckets.join(labels, "id")
     open_ = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
     rest = stored(now.join(open_, "key").join(sketches, "id"), "dup-rest")
-    x = rest.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
-    y = rest.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
-    d = _distance("ka", "kb")
-    across = x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                    & _similar_sizes("na", "nb") & (d <= MAX_XOR))
-    across = across.select("a", "b", d.alias("d")).distinct()
+    x, y = (rest.select("key", F.col("id").alias(i), F.col("comp").alias(f"c{i}"), F.col("n_shingles").alias(f"n{i}"),
+                        F.col("sketch").alias(f"k{i}"), F.col("whole").alias(f"w{i}")) for i in "ab")
+    across = x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _may_link())
+    across = across.select("a", "b", _distance("wa", "wb", WHOLE_LONGS).alias("d")).distinct()
     across = stored(across.join(failed, ["a", "b"], "left_anti"), "dup-across")
 
     def still_apart() -> DataFrame:

@@ -394,3 +394,12 @@ def test_main_text_of_the_pages(spark):
         import html
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*(>|$)", " ", x))).strip() for x in re.split(r"</?(?:h1|p|article|div)[^>]*>", inner)]
         assert r.text == "\n".join(x for x in blocks if x)
+
+
+def test_whole_sketch_never_passes_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (5, 200, 3000):
+        a = rng.integers(1, 2**63, n, dtype=np.uint64)
+        b = np.concatenate([a[: n - n // 4], rng.integers(1, 2**63, n // 3, dtype=np.uint64)])
+        x = near_dup.whole_sketch(a).view(np.uint8) ^ near_dup.whole_sketch(b).view(np.uint8)
+        assert int(np.unpackbits(x).sum()) <= len(np.setxor1d(a, b))
