@@ -59,12 +59,33 @@ def unpack48(b: bytes) -> np.ndarray:
 
 
 def pack_counts(a: np.ndarray) -> bytes:
-    """One byte each if all fit, else eight; the length tells which."""
-    return (a.astype(np.uint8) if len(a) == 0 or int(a.max()) < 256 else a.astype("<u8")).tobytes()
+    """One byte each, 255 for those that follow in eight bytes each."""
+    large = a >= 255
+    return np.where(large, 255, a).astype(np.uint8).tobytes() + a[large].astype("<u8").tobytes()
 
 
 def unpack_counts(b: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(b, np.uint8 if len(b) == n else "<u8").astype(np.int64)
+    a = np.frombuffer(b, np.uint8, n).astype(np.int64)
+    a[a == 255] = np.frombuffer(b, "<u8", offset=n).astype(np.int64)
+    return a
+
+
+def pack_numbers(a: np.ndarray) -> bytes:
+    """Small numbers in one byte, others in three; all in four if one passes 2^22."""
+    if len(a) and int(a.max()) >= 192 + (64 << 16):
+        return b"\1" + a.astype("<u4").tobytes()
+    large = a >= 192
+    high = np.where(large, 192 + ((a - 192) >> 16), a)
+    return b"\0" + high.astype(np.uint8).tobytes() + ((a[large] - 192) & 0xFFFF).astype("<u2").tobytes()
+
+
+def unpack_numbers(b: bytes, n: int) -> np.ndarray:
+    if b[:1] == b"\1":
+        return np.frombuffer(b, "<u4", n, 1).astype(np.int64)
+    a = np.frombuffer(b, np.uint8, n, 1).astype(np.int64)
+    large = a >= 192
+    a[large] = ((a[large] - 192) << 16) + np.frombuffer(b, "<u2", offset=n + 1).astype(np.int64) + 192
+    return a
 
 
 def shard_of(ids: np.ndarray, shards: int) -> np.ndarray:
@@ -93,13 +114,16 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, learn, hashes, sizes, held = [], [], [], [], 0
 
     def out():
-        wh = np.concatenate(hashes) if hashes else np.zeros(0, U)
-        words, tokens = np.unique(wh, return_inverse=True)
+        # words by falling count, so that most tokens have small numbers
+        words, tokens, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
         col = pa.concat_arrays(ids)
         return pa.RecordBatch.from_arrays(
             [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(col)], pa.int32()), col),
-             pa.array([np.concatenate(learn)], pa.list_(pa.bool_())), pa.array([pack48(words)], pa.binary()),
-             pa.array([tokens.astype("<u4").tobytes()], pa.binary()), pa.array([np.cumsum(np.concatenate(sizes))], pa.list_(pa.int64()))],
+             pa.array([np.concatenate(learn)], pa.list_(pa.bool_())), pa.array([pack48(words[order])], pa.binary()),
+             pa.array([pack_numbers(rank[tokens])], pa.binary()), pa.array([np.cumsum(np.concatenate(sizes))], pa.list_(pa.int64()))],
             ["chunk", "doc_ids", "learn", "words", "tokens", "ends"])
 
     for batch in batches:
@@ -132,9 +156,13 @@ class Chunk:
     """A chunk's words, tokens, contexts and which tokens are learnt from."""
 
     def __init__(self, row: dict):
-        self.words = unpack48(row["words"])
-        self.tokens = np.frombuffer(row["tokens"], "<u4").astype(np.int64)
+        by_count = unpack48(row["words"])
+        order = np.argsort(by_count)
+        self.words = by_count[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
         self.ends = np.asarray(row["ends"], np.int64)
+        self.tokens = place[unpack_numbers(row["tokens"], int(self.ends[-1]))]
         self.sizes = np.diff(np.r_[0, self.ends])
         self.learn = np.asarray(row["learn"], bool)
         # with the begin marker in front, words keep their order
@@ -205,21 +233,17 @@ def _bigram_queries(shards: int, hot):
                 for s, a, z in _slices(shard):
                     # the run lengths of equal contexts
                     cut = np.flatnonzero(np.r_[True, ctx[a + 1:z] != ctx[a:z - 1]])
-                    out.append(("q", s, row["chunk"], pack48(c.ids[ctx[a:z][cut]]) + pack_counts(np.diff(np.r_[cut, z - a])),
+                    runs = np.diff(np.r_[cut, z - a])
+                    out.append(("q", s, row["chunk"], np.array([len(cut)], "<u8").tobytes() + pack48(c.ids[ctx[a:z][cut]]) + pack_counts(runs),
                                 pack48(c.ids[word[a:z]]), pack_counts(counts[a:z])))
                 yield _rows(out)
     return run
 
 
-def _unpack_contexts(a: bytes, n: int) -> np.ndarray:
-    """Contexts of n bigrams from their ids and run lengths (7 or 14 bytes each)."""
-    for width in (7, 14):
-        if len(a) % width == 0:
-            k = len(a) // width
-            runs = unpack_counts(a[6 * k:], k)
-            if runs.sum() == n:
-                return np.repeat(unpack48(a[:6 * k]), runs)
-    raise ValueError("broken bigram block")
+def _unpack_contexts(a: bytes) -> np.ndarray:
+    """The context of each bigram from their number, ids and run lengths."""
+    k = int(np.frombuffer(a, "<u8", 1)[0])
+    return np.repeat(unpack48(a[8:8 + 6 * k]), unpack_counts(a[8 + 6 * k:], k))
 
 
 def _count_bigrams(word_shards: int):
@@ -230,7 +254,7 @@ def _count_bigrams(word_shards: int):
         words = [unpack48(q["b"]) for q in queries]
         sizes = [len(w) for w in words]
         counts = np.concatenate([unpack_counts(q["c"], n) for q, n in zip(queries, sizes)])
-        ctx = np.concatenate([_unpack_contexts(q["a"], n) for q, n in zip(queries, sizes)])
+        ctx = np.concatenate([_unpack_contexts(q["a"]) for q in queries])
         words = np.concatenate(words)
         key = tv.mix(ctx * U(0xD6E8FEB86659FD93) + words)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
@@ -243,7 +267,7 @@ def _count_bigrams(word_shards: int):
         t, ctx, words = total[seen], ctx[first[seen]], words[first[seen]]
         ids, *n123 = _sums(ctx, *((t == 1).astype(np.int64), (t == 2).astype(np.int64), (t >= 3).astype(np.int64)))
         for s, a, z in _slices(shard_of(ids, word_shards)):
-            out.append(("c", s, None, pack48(ids[a:z]), np.concatenate([x[a:z] for x in n123]).astype("<u8").tobytes(), None))
+            out.append(("c", s, None, pack48(ids[a:z]), pack_counts(np.concatenate([x[a:z] for x in n123])), None))
         ids, n_ctx = _sums(words, np.ones(len(words), np.int64))
         for s, a, z in _slices(shard_of(ids, word_shards)):
             out.append(("a", s, None, pack48(ids[a:z]), pack_counts(n_ctx[a:z]), None))
@@ -277,7 +301,7 @@ def _answer_words(table: pa.Table) -> pa.Table:
     ids = unpack48(by["m"][0]["a"]) if by["m"] else empty
     counts = unpack_counts(by["m"][0]["b"], len(ids)) if by["m"] else np.zeros(0, np.int64)
     cids = [unpack48(r["a"]) for r in by["c"]]
-    parts = [np.frombuffer(r["b"], "<u8").astype(np.int64).reshape(3, -1) for r in by["c"]]
+    parts = [unpack_counts(r["b"], 3 * len(i)).reshape(3, -1) for r, i in zip(by["c"], cids)]
     cids, *n123 = _sums(np.concatenate(cids), *np.concatenate(parts, axis=1)) if cids else (empty, *[np.zeros(0, np.int64)] * 3)
     aids = [unpack48(r["a"]) for r in by["a"]]
     n_ctx = [unpack_counts(r["b"], len(i)) for r, i in zip(by["a"], aids)]
@@ -286,8 +310,7 @@ def _answer_words(table: pa.Table) -> pa.Table:
     for q in by["q"]:
         want = unpack48(q["a"])
         cols = [_lookup(ids, counts, want), _lookup(aids, n_ctx, want), *(_lookup(cids, n, want) for n in n123)]
-        out.append(("w", q["shard"], q["chunk"], None, np.concatenate(cols).astype("<u4" if all(int(c.max(initial=0)) < 1 << 32 for c in cols) else "<u8").tobytes(),
-                    np.array([len(want)], "<u8").tobytes()))
+        out.append(("w", q["shard"], q["chunk"], None, pack_counts(np.concatenate(cols)), np.array([len(want)], "<u8").tobytes()))
     low = [(n_ctx == k).sum() for k in (1, 2, 3, 4)] + [(n_ctx >= 3).sum(), n_ctx.sum()]
     out.append(("l", -1, None, None, np.array(low, "<u8").tobytes(), None))
     return pa.Table.from_batches([_rows(out)])
@@ -322,7 +345,7 @@ def _score(constants, hot, bigram_shards: int):
         words = []
         for r in sorted((r for r in rows if r["kind"] == "w"), key=lambda r: r["shard"]):
             n = int(np.frombuffer(r["c"], "<u8")[0])
-            words.append(np.frombuffer(r["b"], "<u8" if len(r["b"]) == 40 * n else "<u4").reshape(5, n).astype(np.int64))
+            words.append(unpack_counts(r["b"], 5 * n).reshape(5, n))
         count, n_ctx, m1, m2, m3 = np.concatenate(words, axis=1)
         shard, ctx, word, _, token = c.bigrams(bigram_shards, *hot.value)
         sizes = {s: z - a for s, a, z in _slices(shard)}

@@ -403,3 +403,13 @@ def test_whole_sketch_never_passes_the_difference():
         b = np.concatenate([a[: n - n // 4], rng.integers(1, 2**63, n // 3, dtype=np.uint64)])
         x = near_dup.whole_sketch(a).view(np.uint8) ^ near_dup.whole_sketch(b).view(np.uint8)
         assert int(np.unpackbits(x).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_packed_arrays_round_trip():
+    rng = np.random.default_rng(1)
+    for top in (3, 254, 255, 70_000, 192 + (64 << 16) - 1, 192 + (64 << 16), 2**31):
+        a = np.r_[rng.integers(0, top + 1, 500), 0, top].astype(np.int64)
+        assert (kn_lm.unpack_counts(kn_lm.pack_counts(a), len(a)) == a).all()
+        assert (kn_lm.unpack_numbers(kn_lm.pack_numbers(a), len(a)) == a).all()
+    ids = rng.integers(0, 2**48, 99, dtype=np.uint64)
+    assert (kn_lm.unpack48(kn_lm.pack48(ids)) == ids).all()
