@@ -29,25 +29,25 @@ def _register(name: str, sql: str | None = None):
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 
 OP1_SQL = rf"""
-WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t,
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (
-  SELECT doc_id, i, list_slice(w, i, i + 7) AS x
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+  SELECT r, i, list_slice(w, i, i + 7) AS x
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
 rep AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) WHERE c > 1),
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS c FROM win) WHERE c > 1),
 cover AS (
-  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY doc_id),
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY r),
 f AS (
   SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
          len(regexp_extract_all(t, '[!?]')) AS n_marks, len(regexp_extract_all(t, '[A-Z]')) AS n_caps,
          len(list_filter(w, lambda x: list_contains([{_STOP}], lower(rtrim(x, '.,;:'))))) AS n_stop
-  FROM d LEFT JOIN cover USING (doc_id)),
+  FROM d LEFT JOIN cover USING (r)),
 g AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     list_filter([
@@ -95,7 +95,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- 4 near duplicates ----------------------------------------------------
 
 OP4_SQL = r"""
-WITH RECURSIVE w AS (
+WITH RECURSIVE w AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (
@@ -128,7 +128,7 @@ OP5_SQL = r"""
 WITH tab AS (
   SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
-d AS (
+d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, list_append(regexp_extract_all(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' end') AS w,
          xor(list_reduce(list_concat([4294967295], list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: x <> ''), lambda x: ascii(x)::BIGINT)),
@@ -182,7 +182,7 @@ def op6_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- 7 benchmark decontamination ----------------------------------------
 
 OP7_SQL = r"""
-WITH dw AS (
+WITH dw AS MATERIALIZED (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (
