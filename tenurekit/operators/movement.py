@@ -134,8 +134,9 @@ def tier_changes(rows: DataFrame, entity="player", season="season", tier="tier",
 
 def attach_team_record(stats: DataFrame, records: DataFrame, keys=("season", "player")) -> DataFrame:
     """Season stats ⟕ one team record per key (records de-duplicated
-    first so the join stays 1:1)."""
-    rec = records.dropDuplicates(list(keys))
+    first so the join stays 1:1; the first in the order of their columns)."""
+    others = [c for c in records.columns if c not in keys]
+    rec = records.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r")).select(*keys, "_r.*") if others else records.distinct()
     dup = [c for c in rec.columns if c in stats.columns and c not in keys]
     return stats.drop(*dup).join(rec, list(keys), "left")
 

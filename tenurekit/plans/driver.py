@@ -195,9 +195,11 @@ STATUS_ORDER = ["F", "O", "P"]
 PRIORITY_TIER = {"1-URGENT": "S", "2-HIGH": "A", "3-MEDIUM": "B", "5-LOW": "C"}
 
 
-def driver_appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_appearances(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ("role", "region")) -> DataFrame:
+    """One row per order with its team; ``need`` names the customer columns
+    wanted, so that queries without them read and join no customer table."""
     from ..functions.clean import map_literal
-    p = driver_panel(spark, sf_dir, need=("role", "region", "team", "status"))
+    p = driver_panel(spark, sf_dir, need=(*need, "team", "status"))
     lno = F.array_position(F.array(*[F.lit(s) for s in STATUS_ORDER]), F.col("status")).cast("int")
     d = F.date_format("date", "yyyy-MM-dd")
     return p.where(F.col("team").isNotNull()).select(
@@ -209,8 +211,7 @@ def driver_appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("status").alias("league"),
         lno.alias("league_no"),
         F.coalesce(F.element_at(map_literal(PRIORITY_TIER), F.col("league")), F.lit("?")).alias("tier"),
-        F.col("role"),
-        F.col("region"),
+        *need,
         F.col("row_id").alias("row_no"),
         F.struct(lno.alias("league_no"), d.alias("date"), F.col("row_id").alias("row_no")).alias("enc"),
     )

@@ -157,7 +157,8 @@ def q_summary_report(spark, sf_dir):
               .agg(F.count(F.lit(1))).scalar())
     head = cohort.cohort_headline(lon).withColumn("n_promoted_outside_histogram", n_zero)
     hist = cohort.promotion_histogram(lon).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("seasons").cast("string"), "n_players"))))
+        F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("seasons", "n_players"))),
+                                       lambda x: F.struct(x["seasons"].cast("string"), x["n_players"])))
         .alias("time_histogram"))
     top = cohort.top_leagues(by_league, 40).withColumn(
         "_ord", F.struct(-F.col("n"), F.col("league")))

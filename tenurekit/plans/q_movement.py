@@ -35,7 +35,7 @@ SELECT player, season,
             ELSE 'Roster' END AS "MidSeasonMove"
 FROM per""", ("G4", "C4", "C9", "D1"))
 def q_moves(spark, sf_dir):
-    return movement.detect_moves(driver_appearances(spark, sf_dir))
+    return movement.detect_moves(driver_appearances(spark, sf_dir, ()))
 
 
 @register("movement_best_tier", APP + f""",
@@ -74,7 +74,7 @@ SELECT a.player, a.season, a.row_no, a.tier,
             ELSE 'Stable' END AS "SeasonTierChange"
 FROM app a LEFT JOIN pr USING (player, season)""", ("G3", "E9"))
 def q_tier_change(spark, sf_dir):
-    app = driver_appearances(spark, sf_dir).select("player", "season", "row_no", "tier")
+    app = driver_appearances(spark, sf_dir, ()).select("player", "season", "row_no", "tier")
     return movement.tier_changes(app)
 
 
@@ -83,7 +83,7 @@ SELECT player, team, season, date, row_no FROM (
   SELECT *, row_number() OVER (PARTITION BY player, team, season ORDER BY date, row_no) AS rn FROM app)
 WHERE rn = 1""", ("F33", "H2"))
 def q_dedupe(spark, sf_dir):
-    app = driver_appearances(spark, sf_dir).select("player", "team", "season", "date", "row_no")
+    app = driver_appearances(spark, sf_dir, ()).select("player", "team", "season", "date", "row_no")
     return movement.dedupe_first(app, ["player", "team", "season"], ["date", "row_no"])
 
 
