@@ -6,8 +6,13 @@ the kind of place it stands in (a block inside a menu, header, footer,
 sidebar, notice, advert, form or comment section is never main text).  Blocks
 that stay ambiguous, short ones and those of middling density, inherit in the
 second pass the label of the nearest decided neighbours; between a good and a
-bad one they follow the good.  Blocks inside an article element are not held
-bad for few stop words (invented or unknown languages), only ambiguous.
+bad one they follow the good.  Long blocks with few stop words (a language the
+list does not hold) are ambiguous too, and menus and the like beside them do
+not count against them.  A page without a good block has its long ambiguous
+ones as text, or else its short ones.  Blocks inside an article element are
+its text, unless they stand in a boilerplate place there; blocks beside it
+follow it only as headings or between two.  An id on a heading never marks a
+place, nor inside an article one on a paragraph or a word that may name a topic.
 
 Text is decoded from character references; white space inside a block becomes
 one space; blocks are joined in page order by one line feed.
@@ -50,6 +55,11 @@ BOILER_WORDS = set(
     "sidebar aside widget widgets menu nav navbar navigation breadcrumb breadcrumbs topbar masthead header footer foot copyright legal "
     "comment comments reply replies respond discussion disqus reader share sharing social related recommended trending popular newsletter subscribe "
     "subscription signup login search popup modal overlay alert toolbar pagination pager tags skip form".split())
+#: of these, words that inside an article may name a topic or part of its text (parameter)
+TOPIC_WORDS = set("legal notice notices discussion reader related popular trending header form search alert sponsor promotion respond skip tags".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: elements of running text: their names say less about the place than those of containers
+TEXT_TAGS = HEADINGS | INLINE | {"p", "li", "dl", "dt", "dd", "td", "th", "tr", "table", "blockquote", "pre", "figure", "figcaption", "section", "header"}
 _NAME = re.compile(r"[a-z]+")
 _STOP = frozenset(STOP_WORDS)
 
@@ -61,7 +71,10 @@ def _is_boiler(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and any(w in BOILER_WORDS for w in _NAME.findall(value)):
+        if name == "id" and (tag in HEADINGS or in_article and (tag == "p" or tag in INLINE)):
+            continue
+        words = BOILER_WORDS - TOPIC_WORDS if in_article and tag in TEXT_TAGS else BOILER_WORDS
+        if name in ("class", "id") and any(w in words for w in _NAME.findall(value)):
             return True
         if name == "role" and value in BOILER_ROLES:
             return True
@@ -91,7 +104,7 @@ def blocks_of(page: str) -> list[Block]:
         text = _SPACE.sub(" ", html.unescape(raw)).strip()
         if text:
             out.append(Block(text, min(1.0, linked[0] / len(text)), bool(stack) and stack[-1][1], bool(stack) and stack[-1][2],
-                             any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t, _, _ in stack[-2:])))
+                             any(t in HEADINGS for t, _, _ in stack[-2:])))
         linked[0] = 0
 
     def said(text: str):
@@ -145,8 +158,8 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_pass(b: Block) -> str:
-    """good, bad, dense or near (ambiguous), or short, from the block alone."""
-    if b.boiler or b.links > LINKS_MAX or "©" in b.text[:3]:
+    """good, bad, dense, near or unknown (ambiguous), or short, from the block alone."""
+    if b.boiler or not b.article and (b.links > LINKS_MAX or "©" in b.text[:3]):
         return "bad"
     words = _WORD.findall(b.text.lower())
     density = sum(w in _STOP for w in words) / len(words) if words else 0.0
@@ -156,7 +169,18 @@ def first_pass(b: Block) -> str:
         return "good" if len(b.text) > LENGTH_HIGH or b.article else "dense"
     if density >= STOP_LOW:
         return "good" if b.article else "near"
-    return "near" if b.article else "bad"
+    return "near" if b.article else "unknown"
+
+
+def _sides(decided: list[bool]) -> list[list[int]]:
+    """The nearest decided block before and after each one, where there is one."""
+    n = len(decided)
+    before, after = [-1] * n, [n] * n
+    for i in range(1, n):
+        before[i] = i - 1 if decided[i - 1] else before[i - 1]
+    for i in range(n - 2, -1, -1):
+        after[i] = i + 1 if decided[i + 1] else after[i + 1]
+    return [[k for k in pair if 0 <= k < n] for pair in zip(before, after)]
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -165,27 +189,28 @@ def second_pass(blocks: list[Block]) -> None:
     # a page of short blocks only: those full of stop words are its text
     dense = "near" if "good" in labels else "good"
     labels = [dense if x == "dense" else x for x in labels]
-    n = len(blocks)
-    before, after = [-1] * n, [n] * n
-    for i in range(1, n):
-        before[i] = i - 1 if labels[i - 1] in ("good", "bad") else before[i - 1]
-    for i in range(n - 2, -1, -1):
-        after[i] = i + 1 if labels[i + 1] in ("good", "bad") else after[i + 1]
-    for i, b in enumerate(blocks):
-        b.label = labels[i]
-        if labels[i] in ("good", "bad"):
-            continue
-        near = [k for k in (before[i], after[i]) if 0 <= k < n]
-        if b.article:  # neighbours beside the article say nothing about what is in it
-            near = [k for k in near if blocks[k].article and not blocks[k].boiler]
-            b.label = "good" if not near or any(labels[k] == "good" for k in near) else "bad"
-        elif labels[i] == "near":
-            b.label = "good" if any(labels[k] == "good" for k in near) else "bad"
-        else:
-            both = len(near) == 2 and all(labels[k] == "good" for k in near)
-            heads = b.heading and after[i] < n and labels[after[i]] == "good"
-            ends = len(near) == 1 and labels[near[0]] == "good" and not any(x.article for x in blocks)
-            b.label = "good" if both or heads or ends else "bad"
+    no_article = not any(b.article for b in blocks)
+    for kinds in (("near", "unknown"), ("short",)):  # nothing for the others to follow
+        if no_article and "good" not in labels:
+            labels = ["good" if x in kinds else x for x in labels]
+    labels = ["good" if b.article and not b.boiler else x for b, x in zip(blocks, labels)]
+
+    def drawn(near: list[int]) -> bool:
+        """By good neighbours; an article draws in what stands beside it from both sides only."""
+        good = [k for k in near if labels[k] == "good"]
+        return len(good) == 2 or any(not blocks[k].article for k in good)
+
+    sides = _sides([x in ("good", "bad") and not b.boiler for b, x in zip(blocks, labels)])
+    known = [drawn(near) or no_article and not near for near in sides]
+    labels = [("good" if k else "bad") if x == "unknown" else x for x, k in zip(labels, known)]
+    for i, near in enumerate(_sides([x in ("good", "bad") for x in labels])):
+        b, x = blocks[i], labels[i]
+        if x == "near":
+            x = "good" if any(labels[k] == "good" for k in near) else "bad"
+        elif x == "short":
+            heads = b.heading and any(k > i and labels[k] == "good" for k in near)
+            x = "good" if heads or drawn(near) else "bad"
+        b.label = x
 
 
 def main_text(page: str | None) -> str:

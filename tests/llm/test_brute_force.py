@@ -387,6 +387,28 @@ def test_main_text_of_a_page():
     assert html_main.main_text(None) == html_main.main_text("") == html_main.main_text("<script>x") == ""
 
 
+def test_main_text_of_a_page_without_article():
+    div = PAGE.replace("<article>", "<div class='content'>").replace("</article>", "</div>")
+    assert html_main.main_text(div) == MAIN
+    finnish = ["Talvella järven jää kantaa jo marraskuussa, ja kalastajat kulkevat sitä pitkin kylästä toiseen hevosillaan.",
+               "Lyhyt rivi tässä.", "Keväällä matka käy veneellä, sillä tiet ovat vielä pehmeitä eikä niitä pitkin pääse kukaan eteenpäin."]
+    around = "<nav><a href='/'>Etusivu</a></nav><div class='c'>{}</div><footer>Yhteystiedot</footer>"
+    assert html_main.main_text(around.format("".join(f"<p>{x}</p>" for x in finnish))) == "\n".join(finnish)
+    english = "It is one of the lines that are in the list of the languages, and it is as long as it has to be for the first of the passes. " * 2
+    mixed = "".join(f"<p>{x}</p><nav><a href='/'>x</a></nav>" for x in [english, finnish[0], finnish[2]])
+    assert html_main.main_text(mixed) == "\n".join([english.strip(), finnish[0], finnish[2]])
+    links = "<div>" + "".join(f"<a href='/{i}'>Toinen pitkä otsikko numero {i}</a> " for i in range(9)) + "</div>"
+    assert html_main.main_text(links + "<footer>Yhteystiedot</footer>") == ""
+
+
+def test_main_text_of_an_article_with_links_and_anchors():
+    kept = ["Discussion", "The work of others", "A list of links", "On the law of the sea", "Legal remarks stay"]
+    page = ("<article><h2 id='discussion'>{}</h2><section id='related'><p id='comments'>{}</p></section><p><a href='/l'>{}</a></p>"
+            "<h3 class='legal'>{}</h3><p class='legal'>{}</p><div class='share'>Share this</div><div class='related'>More of it</div></article>"
+            "<div>Beside the article</div>").format(*kept)
+    assert html_main.main_text(page) == "\n".join(kept)
+
+
 @needs_data
 def test_main_text_of_the_pages(spark):
     for r in table(spark, "pages").join(html_main.extract_main_text(table(spark, "pages")), "page_id").collect():
