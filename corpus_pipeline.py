@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before
 kept and returns a DataFrame; ``run`` writes each result as Parquet into the
 shared folder (``spark.checkpoint.dir``) and reads it again for the next.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``.  The last tells how often
+the mix takes each document (``copies``, 0: not at all); ``training_corpus``
+carries that out.
 """
 
 from __future__ import annotations
@@ -60,3 +62,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs = stored(docs, f"pipeline-{name}")
     return docs
+
+
+def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``run`` decided, carried out: documents the mix does not take are
+    gone, the others stand as often as it takes them (numbered by ``copy``)."""
+    return mixing.repeated(run(spark, sf_dir))

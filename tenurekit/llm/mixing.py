@@ -133,3 +133,9 @@ def take(sized: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_copies: fl
     kept = [F.col(f"`{c}`") for c in sized.columns]
     return out.select(*kept, F.col("source_size").cast("long").alias("source_size"), "target",
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The mix itself: each row of ``take`` as often as it has copies, none
+    without; ``copy`` numbers them from 1, other columns stay."""
+    return mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

@@ -56,3 +56,13 @@ def test_pipeline_equals_brute_force(spark):
     assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest(cols, want)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_training_corpus_holds_what_the_mix_takes(spark):
+    decided = corpus_pipeline.run(spark, SF).collect()
+    assert any(r.copies == 0 and r.size > 0 for r in decided) and any(r.copies == 2 for r in decided)
+    got = corpus_pipeline.training_corpus(spark, SF).collect()
+    assert not any(r.taken == 0 and r.size > 0 for r in got)
+    assert sorted((r.doc_id, r.copy) for r in got) == sorted((r.doc_id, k) for r in decided for k in range(1, r.copies + 1))
+    assert sum(r.size for r in got) == sum(r.taken for r in decided)
+    texts = {r.doc_id: r.text for r in decided}
+    assert all(r.text == texts[r.doc_id] for r in got)
