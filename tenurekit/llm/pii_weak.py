@@ -2,7 +2,10 @@ r"""Personal data by weak supervision, in native Spark expressions only.
 
 Base kinds (email, ip, card, phone) come from fixed patterns with their own
 validity rules; these spans always stay.  Beyond them, tokens that look like
-credentials are candidates of kind ``secret``.  Labelers of three sorts vote
+credentials are candidates of kind ``secret``, and so is, whatever its
+characters, the value after a cue word and an assignment (four characters or
+more; spaces only in quotes), after ``Bearer`` or after the name of a personal
+number.  Labelers of three sorts vote
 on each candidate: patterns (shape, length, mix of letters and digits), a
 gazetteer of cue words, and context (assignment, quotes).  Spark counts the
 vote patterns of all candidates; expectation-maximisation over that table
@@ -25,6 +28,7 @@ overlapping spans and names the first one's kind.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +54,33 @@ CUES = ("password passwd passphrase pwd token secret apikey api_key api-key acce
         "passwort kennwort geheim contraseña clave motdepasse auth").split()
 #: how keys of well-known services begin
 KEY_PREFIXES = r"(?:AKIA|ASIA)[0-9A-Z]{12}|ghp_|gho_|github_pat_|xox[abp]-|sk_live_|sk-|AIza|glpat-|eyJ"
+#: cue words that hardly occur before a colon otherwise
+STRONG_CUES = ("password passwd passphrase pwd apikey api_key api-key access_key accesskey private_key privatekey "
+               "passwort kennwort contraseña motdepasse").split()
+#: names of personal numbers
+ID_CUES = (r"ssn|social[\x20-]security(?:[\x20-](?:number|no\.?))?|national[\x20-]id|tax[\x20-]?id|passport(?:[\x20](?:number|no\.?))|account[\x20](?:number|no\.?)|"
+           r"steuer-?(?:id|nummer)|sozialversicherungsnummer|ausweisnummer|kontonummer|dni|nif")
+#: what follows a cue word in forms and manuals
+PLACEHOLDERS = "required optional forgot forgotten remember none null empty hidden reset change changed invalid incorrect wrong must".split()
 BENIGN = "version license licence lizenz licencia page chapter isbn doi vol http www figure table".split()
 
+_ASSIGNED = r"[\"']?[\x20\t]{0,3}(?::=|=>|[:=])[\x20\t]{0,3}(?:bearer[\x20])?"
+_ID_PREFIX = rf"(?:{ID_CUES})[\x20\t]{{0,3}}[:=#]?[\x20\t]{{0,3}}"
+_ID = r"(?=[0-9])[0-9](?:[./-]?[0-9]){5,31}+[A-Za-z]?"
+
+
+def _assigned(cues: list[str]) -> str:
+    return rf"(?:{'|'.join(sorted(cues, key=len, reverse=True))}){_ASSIGNED}"
+
+
+_QUOTED = r"\"[^\"\n]{4,64}\"|'[^'\n]{4,64}'"
+PATTERNS["cued"] = rf"(?iu)(?<!\p{{L}})(?:{_assigned(CUES)}(?:{_QUOTED}|\S{{4,}}+)|bearer[\x20][\w.~+/=-]{{8,}}+|{_ID_PREFIX}{_ID})"
+#: one of these is in every match of it, in lower case
+_CUED_STEMS = [*CUES, *("ssn|social security|social-security|national id|national-id|tax id|tax-id|taxid|passport n|account n|steuerid|steuer-id|"
+                        "steuernummer|steuer-nummer|sozialversicherungsnummer|ausweisnummer|kontonummer|dni|nif").split("|")]
+#: the part of a match before the value
+_CUE_PREFIX = rf"(?iu)^(?:{_assigned(CUES)}|bearer[\x20]|{_ID_PREFIX})"
+
 MIN_PROBABILITY = 0.9
 MAX_STEPS = 200
 
@@ -72,6 +101,13 @@ def _before(values: Column, join=lambda a, x: a + x, block: int = 128) -> Column
     return let(blocks, lambda b: F.flatten(F.zip_with(b, _prefix(F.transform(b, total), F.lit(0), join), lambda x, first: _prefix(x, first, join))))
 
 
+def _gate(text: Column, kind: str) -> Column:
+    """Whether the kind's pattern is to be tried on the text."""
+    if kind != "cued":
+        return F.rlike(text, F.lit(GATES[kind]))
+    return let(F.lower(text), lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in _CUED_STEMS]))
+
+
 _NONE = "array<struct<s: int, e: int, m: string, c: string>>"
 
 
@@ -91,7 +127,7 @@ def matches(text: Column, kind: str) -> Column:
         return let(let(lengths, lambda x: _before(x)), build)
 
     parts = F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
-    return F.when(F.rlike(text, F.lit(GATES[kind])), let(parts, located)).otherwise(F.array().cast(_NONE))
+    return F.when(_gate(text, kind), let(parts, located)).otherwise(F.array().cast(_NONE))
 
 
 def _digits(m: Column) -> Column:
@@ -138,15 +174,25 @@ def _votes(c: Column) -> dict[str, Column]:
     cue = "|".join(x.replace(".", r"\.") for x in CUES)
     letters = F.length(F.regexp_replace(m, "[^A-Za-z]", ""))
     digits = F.length(_digits(m))
+    # the candidate is the value after a cue
+    raw, value = F.concat(c["c"], m), rf"(?:{_QUOTED}|\S+)$"
+    follows = lambda prefix: F.rlike(raw, F.lit(rf"(?iu)(?<!\p{{L}})(?:{prefix}){value}"))
+    strong = follows(_assigned(STRONG_CUES)) | F.rlike(raw, F.lit(rf"(?iu)(?<!\p{{L}}){_ID_PREFIX}{_ID}\p{{Punct}}*$"))
+    given = follows(_assigned(CUES))
+    bearer = F.rlike(raw, F.lit(r"(?<!\p{L})(?:Bearer|BEARER)\x20[\w.~+/=-]{12,}$"))
+    # short words after a cue that prose uses too are judged by their looks
+    cued = strong | ((given | follows(r"bearer\x20")) & ((c["e"] - c["s"] >= 8) | (digits > 0)))
+    against = F.when(cued, 0).otherwise(-1)  # what a value after a cue looks like says nothing against it
+    empty = F.rlike(F.lower(m), F.lit(rf"(?:^|[:=])[\"'(\[<]*(?:{'|'.join(PLACEHOLDERS)})[\"')\]>.,;:!?]*$"))
     return {
-        "shape": F.when(F.rlike(m, F.lit(r"(?:AKIA|ASIA)[0-9A-Z]{16}|(?<![0-9A-Za-z])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,}|(?:sk|pk|ghp|xox[a-z])[-_][0-9A-Za-z-]{16,}")), 1)
+        "shape": F.when(empty, -1).when(cued, 1).when(F.rlike(m, F.lit(r"(?:AKIA|ASIA)[0-9A-Z]{16}|(?<![0-9A-Za-z])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,}|(?:sk|pk|ghp|xox[a-z])[-_][0-9A-Za-z-]{16,}")), 1)
                   .when(F.rlike(m, F.lit(r"^[^0-9A-Za-z]*[0-9]+(?:[.,:/-][0-9]+)*[^0-9A-Za-z]*$")), -1).otherwise(0),
-        "gazetteer": F.when(F.rlike(said, F.lit(rf"(?<![a-z])(?:{cue})(?![a-z])[^a-z]{{0,12}}\S*$")) | F.rlike(m, F.lit(rf"^[\"'(\[<]*(?:{KEY_PREFIXES})")), 1)
+        "gazetteer": F.when(empty, -1).when(cued, 1).when(F.rlike(said, F.lit(rf"(?<![a-z])(?:{cue})(?![a-z])[^a-z]{{0,12}}\S*$")) | F.rlike(m, F.lit(rf"^[\"'(\[<]*(?:{KEY_PREFIXES})")), 1)
                       .when(F.rlike(said, F.lit("|".join(BENIGN))), -1).otherwise(0),
-        "context": F.when(F.rlike(F.concat(c["c"], m), F.lit(r"[A-Za-z_][\x20]?=[\x20]?[\"']?[0-9A-Za-z/+_-]{8,}|:[\x20]?[\"'][0-9A-Za-z/+_-]{8,}[\"']")), 1)
+        "context": F.when(cued & (strong | given | bearer), 1).when(F.rlike(F.concat(c["c"], m), F.lit(r"[A-Za-z_][\x20]?=[\x20]?[\"']?[0-9A-Za-z/+_-]{8,}|:[\x20]?[\"'][0-9A-Za-z/+_-]{8,}[\"']")), 1)
                     .when(F.rlike(m, F.lit(r"^[\"'(]*[a-z]+://")), -1).otherwise(0),
-        "mixture": F.when((letters >= 4) & (digits >= 3), 1).when((letters == 0) | (digits == 0), -1).otherwise(0),
-        "length": F.when(F.length(m) >= 16, 1).when(F.length(m) < 12, -1).otherwise(0),
+        "mixture": F.when((letters >= 4) & (digits >= 3), 1).when((letters == 0) | (digits == 0), against).otherwise(0),
+        "length": F.when(F.length(m) >= 16, 1).when(F.length(m) < 12, against).otherwise(0),
     }
 
 
@@ -158,10 +204,23 @@ def _trimmed(c: Column) -> Column:
     return F.struct((c["s"] + left).alias("s"), (c["s"] + left + F.length(inner)).alias("e"), c["m"].alias("m"), c["c"].alias("c"))
 
 
+def _value(c: Column) -> Column:
+    """The value of a match that begins with its cue."""
+    def cut(prefix):
+        n = F.length(prefix)
+        return F.struct((c["s"] + n).alias("s"), c["e"].alias("e"), F.substring(c["m"], n + 1, F.length(c["m"])).alias("m"),
+                        F.right(F.concat(c["c"], prefix), F.lit(32)).alias("c"))
+    return let(F.regexp_extract(c["m"], _CUE_PREFIX, 0), cut)
+
+
 def candidates(text: Column, base: Column) -> Column:
-    """Candidate secrets that do not touch a base span."""
-    found = F.transform(matches(text, "secret"), _trimmed)
-    return F.filter(found, lambda c: (c["e"] - c["s"] >= 8) & ~F.exists(base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+    """Candidate secrets that do not touch a base span: tokens by their looks,
+    and values after a cue that are not among them."""
+    apart = lambda c, spans: ~F.exists(spans, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
+    found = F.filter(F.transform(matches(text, "secret"), _trimmed), lambda c: (c["e"] - c["s"] >= 8) & apart(c, base))
+    cued = F.filter(F.transform(F.transform(matches(text, "cued"), _value), _trimmed),
+                    lambda c: (c["e"] - c["s"] >= 4) & F.rlike(c["m"], F.lit(r"[\p{L}\p{N}]")) & apart(c, base))
+    return let(found, lambda f: F.array_sort(F.concat(f, F.filter(cued, lambda c: apart(c, f)))))
 
 
 def _buckets(c: Column) -> dict[str, Column]:
@@ -181,7 +240,7 @@ def _described(c: Column) -> Column:
 def vote_table(docs: DataFrame) -> list[tuple[tuple[int, ...], int]]:
     """(features of a candidate, number of candidates), at most 3^5 * 16 rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    some = docs.select(text.alias("text")).filter(F.rlike("text", F.lit(GATES["secret"])))
+    some = docs.select(text.alias("text")).filter(_gate(F.col("text"), "secret") | _gate(F.col("text"), "cued"))
     base = F.concat(*[base_spans(F.col("text"), k) for k in BASE_KINDS])
     c = some.select("text", base.alias("base")).select(F.explode(candidates(F.col("text"), F.col("base"))).alias("c"))
     rows = c.select(_described(F.col("c")).alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()

@@ -274,6 +274,20 @@ def test_secrets_and_redaction(spark):
     assert out[3].text == rows[2][1] and out[4].text is None and out[5] == rows[4]
 
 
+def test_values_after_a_cue_are_secrets_whatever_their_characters(spark):
+    hidden = [("Login with password: correcthorse today.", "correcthorse"), ("Authorization: Bearer abcdefghijkl", "abcdefghijkl"), ("pwd=qwert end", "pwd=qwert"),
+              ("passwort: geh3im", "geh3im"), ("Password: \"correct horse battery\" works", "correct horse battery"), ("é SSN 123-45-6789, said the clerk", "123-45-6789"),
+              ("social security number: 123-45-6789.", "123-45-6789"), ("token: abcdefgh", "abcdefgh")]
+    plain = ["Order 123-45-6789 came with 12345678 parts", "Password: required", "The secret: bread and the token is given to the bearer of it", "a password is what they need", "Bearer bonds"]
+    noise = [f"In 2024{i:04d} we met 1234{i:04d} people, see page 1.2.3.{i + 300:04d} of it" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate([t for t, _ in hidden] + plain + noise)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii_weak.redact(docs).collect()}
+    assert [got[i] for i in range(len(hidden))] == [t.replace(x, "[SECRET]") for t, x in hidden]
+    assert [got[len(hidden) + i] for i in range(len(plain) + len(noise))] == plain + noise
+    alone = pii_weak.redact(docs.filter("doc_id = 0")).first()
+    assert alone.text == "Login with password: [SECRET] today."
+
+
 def test_em_finds_the_reliable_labelers():
     rnd, rows = random.Random(2), Counter()
     chance = (0.95, 0.9, 0.8, 0.55, 0.6)
