@@ -12,8 +12,10 @@ off, the longest copy aside).
 
 The cut is found without ordering a source: words are summed per (source,
 slice of the ranking value), prefix sums over that small table find the slice
-in which the target is reached, and only that slice's documents are ordered,
-again by finer slices until few rows are left.  So one source may hold most rows.
+in which the target is reached, and only that slice's documents are ordered.
+Those of equal rank, id and size are counted first, and a slice that still holds
+many is cut into finer ones until few are left (or u has no finer ones).  So one
+source may hold most rows, and one id most rows of a source.
 
 Defined results: a null text has size 0; null sources form one source, last in
 order; empty tables give no rows; equal ids (also null ones) draw the same u
@@ -32,6 +34,8 @@ from tenurekit.session import MAX_BROADCAST_ROWS
 from .base import stored
 
 SLICES = 1 << 16
+#: combinations of rank, id and size that one task may order
+FEW = 100_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -69,14 +73,37 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_copies: float = 2.0,
-        seed: str = "mix-1", slices: int = SLICES) -> DataFrame:
+        seed: str = "mix-1", slices: int = SLICES, limit: int = FEW) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken of every document."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return take(sized, weights, total, max_copies, seed, slices)
+    return take(sized, weights, total, max_copies, seed, slices, limit)
+
+
+def _with_cut(t: DataFrame, per_slice: DataFrame, few: bool, slices: int) -> DataFrame:
+    """``t`` with the slice in which the sample of each source ends (``_cut``)
+    and the words before it; ``_cut_before`` of ``t`` are those before all
+    slices of (source, _slice, _words), at most ``slices`` a source."""
+    # prefix sums in two levels: no window holds more than about sqrt(slices) rows
+    wide = max(1, int(slices ** 0.5))
+    per_slice = per_slice.withColumn("_block", F.floor(F.col("_slice") / wide))
+    per_block = per_slice.groupBy("source", "_block").agg(F.sum("_words").alias("_bw"))
+    before = W.partitionBy("source").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = per_block.select(F.col("source").alias("_bs"), F.col("_block").alias("_bb"),
+                              F.coalesce(F.sum("_bw").over(before), F.lit(0)).alias("_b0"))
+    inside = W.partitionBy("source", "_block").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = (per_slice.withColumn("_in", F.coalesce(F.sum("_words").over(inside), F.lit(0)))
+              .join(blocks, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("_block") == F.col("_bb")))
+              .select("source", "_slice", "_words", (F.col("_in") + F.col("_b0")).alias("_before")))
+    cut = (starts.join(F.broadcast(t) if few else t, F.col("source").eqNullSafe(F.col("_source")))
+           .withColumn("_before", F.col("_cut_before") + F.col("_before"))
+           .filter((F.col("_p") > 0) & (F.col("_before") <= F.col("_rest"))
+                   & (F.col("_rest") < F.col("_before") + F.col("_words")))
+           .select(F.col("source").alias("_cs"), F.col("_slice").alias("_cut"), F.col("_before").alias("_at")))
+    return t.drop("_cut_before").join(cut, F.col("_source").eqNullSafe(F.col("_cs")), "left").withColumnRenamed("_at", "_cut_before").drop("_cs")
 
 
 def take(sized: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_copies: float = 2.0,
-         seed: str = "mix-1", slices: int = SLICES) -> DataFrame:
+         seed: str = "mix-1", slices: int = SLICES, limit: int = FEW) -> DataFrame:
     """As ``mix``, from rows that have a ``size``; other columns are kept."""
     narrow = stored(sized.select("doc_id", "source", "size"), "mix-sizes")
     sums = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -90,34 +117,29 @@ def take(sized: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_copies: fl
     same = F.col("source").eqNullSafe(F.col("_source"))
 
     # Within a source p is one number, so slices of u are slices of the ranking value.
-    slice_of = F.floor(F.col("_u") * slices).cast("int")
-    keyed = narrow.withColumn("_u", draw(F.col("doc_id"), seed)).withColumn("_slice", slice_of)
-    per_slice = keyed.groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
-    # prefix sums in two levels: no window holds more than about sqrt(slices) rows
-    wide = max(1, int(slices ** 0.5))
-    per_slice = per_slice.withColumn("_block", F.floor(F.col("_slice") / wide))
-    per_block = per_slice.groupBy("source", "_block").agg(F.sum("_words").alias("_bw"))
-    before = W.partitionBy("source").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = per_block.select(F.col("source").alias("_bs"), F.col("_block").alias("_bb"),
-                              F.coalesce(F.sum("_bw").over(before), F.lit(0)).alias("_b0"))
-    inside = W.partitionBy("source", "_block").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = (per_slice.withColumn("_in", F.coalesce(F.sum("_words").over(inside), F.lit(0)))
-              .join(blocks, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("_block") == F.col("_bb")))
-              .select("source", "_slice", "_words", (F.col("_in") + F.col("_b0")).alias("_before")))
-    # the slice in which the sample of each source ends
-    cut = (starts.join(F.broadcast(t) if few else t, same)
-           .filter((F.col("_p") > 0) & (F.col("_before") <= F.col("_rest"))
-                   & (F.col("_rest") < F.col("_before") + F.col("_words")))
-           .select(F.col("source").alias("_cs"), F.col("_slice").alias("_cut"), F.col("_before").alias("_cut_before")))
-    t = stored(t.join(cut, F.col("_source").eqNullSafe(F.col("_cs")), "left").drop("_cs"), "mix-cuts")
-    small = F.broadcast(t) if few else t
-    # the documents of that slice, in order of the ranking value
+    fine = slices
+    keyed = narrow.withColumn("_u", draw(F.col("doc_id"), seed))
+    per_slice = keyed.withColumn("_slice", F.floor(F.col("_u") * fine)).groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
+    cuts = stored(_with_cut(t.withColumn("_cut_before", F.lit(0).cast("long")), per_slice, few, slices), "mix-cuts")
+    # the documents of that slice, equal ones counted
     odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("_p") / (1 - F.col("_p")))
-    run = W.partitionBy("source").orderBy("_q", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    last = (keyed.join(small, same & (F.col("_slice") == F.col("_cut"))).withColumn("_q", odds)
-            .withColumn("_upto", F.col("_cut_before") + F.sum("size").over(run))
-            # taking it must bring the words nearer to what is left than leaving it
-            .filter(F.col("_upto") - F.col("size") / 2 <= F.col("_rest"))
+    equal = (keyed.withColumn("_slice", F.floor(F.col("_u") * fine))
+             .join(F.broadcast(cuts) if few else cuts, same & (F.col("_slice") == F.col("_cut")))
+             .groupBy("source", "_u", "doc_id", "size").agg(F.count(F.lit(1)).alias("_n")))
+    equal = stored(equal, "mix-equal")
+    while fine * slices <= 1 << 52 and (equal.groupBy("source").count().agg(F.max("count")).first()[0] or 0) > limit:
+        fine *= slices
+        finer = equal.withColumn("_slice", F.floor(F.col("_u") * fine))
+        per_slice = finer.groupBy("source", "_slice").agg(F.sum(F.col("size") * F.col("_n")).alias("_words"))
+        cuts = stored(_with_cut(cuts.drop("_cut"), per_slice, few, slices), "mix-cuts")
+        equal = stored(finer.join(F.broadcast(cuts) if few else cuts, same & (F.col("_slice") == F.col("_cut"))).select(*equal.columns), "mix-equal")
+    t = cuts
+    # in order of the ranking value
+    run = W.partitionBy("source").orderBy("_q", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    last = (equal.join(F.broadcast(t) if few else t, same).withColumn("_q", odds)
+            .withColumn("_upto", F.col("_cut_before") + F.coalesce(F.sum(F.col("size") * F.col("_n")).over(run), F.lit(0)))
+            # taking the first of them must bring the words nearer to what is left than leaving it
+            .filter(F.col("_upto") + F.col("size") / 2 <= F.col("_rest"))
             .groupBy("source").agg(F.max(F.struct("_q", "doc_id", "size")).alias("_last"))
             .withColumnRenamed("source", "_ls"))
     t = stored(t.join(last, F.col("_source").eqNullSafe(F.col("_ls")), "left").drop("_ls"), "mix-last")
@@ -127,7 +149,7 @@ def take(sized: DataFrame, weights=(5, 2, 1), total: float = 1.5, max_copies: fl
         F.when(F.col("_cut").isNull(), F.col("_rest") > 0)
         .otherwise((F.col("_slice") < F.col("_cut"))
                    | ((F.col("_slice") == F.col("_cut")) & F.coalesce(key <= F.col("_last"), F.lit(False)))))
-    out = (sized.withColumn("_u", draw(F.col("doc_id"), seed)).withColumn("_slice", slice_of)
+    out = (sized.withColumn("_u", draw(F.col("doc_id"), seed)).withColumn("_slice", F.floor(F.col("_u") * fine))
            .join(F.broadcast(t) if few else t, same))
     copies = (F.col("_whole") + F.coalesce(drawn, F.lit(False)).cast("long")).cast("long")
     kept = [F.col(f"`{c}`") for c in sized.columns]

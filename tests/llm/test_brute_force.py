@@ -335,6 +335,23 @@ def test_mix_targets_and_limits(spark):
     assert sum(rs[0].target for rs in by.values()) == pytest.approx(1.5 * total)
 
 
+def test_mix_cuts_crowded_slices_finer(spark, monkeypatch):
+    rnd = random.Random(7)
+    rows = [(i, " ".join(["w"] * rnd.randint(0, 60)), rnd.choice("ab")) for i in range(3000)] + [(None, "w " * (i % 5), "c") for i in range(3000)] + [(i, "w w w", "c") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+
+    def result(**kw):
+        return sorted(((r.source, r.doc_id is None, r.doc_id or 0, r.size, r.copies) for r in mixing.mix(docs, **kw).collect()))
+    written, plain = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: written.append((name, plain(df, name))) or written[-1][1])
+    want = result()
+    assert result(slices=4, limit=20) == want and len({x[-1] for x in want}) > 1
+    ordered = [df for name, df in written if name == "mix-equal"]
+    assert len(ordered) > 3  # the first run orders one slice at once, the second refines
+    assert ordered[-1].groupBy("source").count().agg({"count": "max"}).first()[0] <= 20
+    assert ordered[0].filter("doc_id IS NULL").count() <= 5  # one row a size
+
+
 # ---- classifiers -------------------------------------------------------------------
 
 @needs_data
