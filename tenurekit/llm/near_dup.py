@@ -8,8 +8,8 @@ and an odd sketch: the MinHash samples folded into a parity bitmap, whose XOR
 population count estimates high similarities precisely.
 
 1. Documents with equal sets form a class; its smallest id stands for it.
-2. Classes that share a band key are candidates.  No bucket's pairs are listed:
-   in each round every class is compared only with the smallest member of its
+2. Classes that share a band key are candidates.  At first no bucket's pairs
+   are listed: in each round every class is compared only with the smallest member of its
    buckets, the one nearest by odd sketch, and buckets that have become one
    component leave.  After ``STAR_ROUNDS`` such rounds, what is left are pairs
    across components in a common bucket whose sketches are near enough; the
@@ -17,7 +17,8 @@ population count estimates high similarities precisely.
    A second odd sketch, of the whole set, prunes without loss: its XOR count
    never passes the true symmetric difference, so pairs above what the
    similarity allows are certainly no links.  Thus near misses within a family
-   of copies do not leave the join that meets them.
+   of copies do not leave the join that meets them, but for sets too long for
+   the sketch; a hot bucket of those is quadratic in its key's task (open).
 3. Every candidate link is confirmed on the full sets: 100 * |A and B| >=
    80 * |A or B|.  Components are closed by hooking and pointer jumping over
    tables, nothing is collected.
