@@ -7,8 +7,9 @@ contexts that w follows, interpolated with 1 / (V + 1).
 
 Neither the corpus nor the model passes through one task.  Documents are
 packed into chunks of about ``CHUNK_BYTES`` of text, stored once as sorted
-word-hash arrays and token numbers.  The model is held in shards, each a sorted array of
-word or bigram hashes with counts; their number follows the corpus.  A
+word-hash arrays and token numbers.  The model is dealt over shards of words and of
+bigrams; their number follows the corpus.  Bigram counts go back to the chunks
+that asked and are not kept as arrays, so no other text can be scored.  A
 chunk sends each distinct word and bigram once to the shard that holds it and
 gets the slice of the model back in its own order.  Scoring maps that slice
 from a file into memory and needs no search per token.  Contexts that hold
