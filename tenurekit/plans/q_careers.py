@@ -81,7 +81,7 @@ SELECT player AS player_id,
 FROM rec"""
 
 
-@register("career_metrics", CAREER_SQL, ("A1", "A5", "C3", "C4", "C6", "C7", "C8", "F1", "F4", "H1"))
+@register("career_metrics", CAREER_SQL, ("A5", "C3", "C4", "C6", "C7", "C8", "F1", "F4"))
 def q_career_metrics(spark, sf_dir):
     return careers.career_metrics(records(spark, sf_dir))
 
@@ -150,7 +150,7 @@ SELECT player AS player_id,
 FROM j"""
 
 
-@register("career_metrics_workbook", WORKBOOK_SQL, ("A2", "C6", "E8", "F2"))
+@register("career_metrics_workbook", WORKBOOK_SQL, ("C6", "E8", "F2"))
 def q_workbook(spark, sf_dir):
     s = driver_stats(spark, sf_dir)
     # the workbook's plain-number win-rate rule sees text with '%' as missing

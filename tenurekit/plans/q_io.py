@@ -31,7 +31,7 @@ def q_sinks(spark, sf_dir):
     return L.read_jsonl(spark, os.path.join(base, "jsonl"), rows.schema)
 
 
-@register("model_persistence", None, ("A11",))
+@register("model_persistence", None, ())
 def q_persist(spark, sf_dir):
     """Fit a pipeline, save it under the shared folder, load it back and
     score with the loaded copy (A11)."""

@@ -212,7 +212,7 @@ def q_score(spark, sf_dir):
         "errors", F.array_join("errors", "; "))
 
 
-@register("model_training_report", None, ("I15", "A9"))
+@register("model_training_report", None, ())
 def q_report(spark, sf_dir):
     e = split_frame(spark, sf_dir)
     sizes = e.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("split") == "train").alias("n_train"),

@@ -33,7 +33,7 @@ SELECT player, season,
             WHEN {RANK99('l_tier')} < {RANK99('f_tier')} THEN 'Promotion'
             WHEN {RANK99('l_tier')} > {RANK99('f_tier')} THEN 'Relegation'
             ELSE 'Roster' END AS "MidSeasonMove"
-FROM per""", ("G4", "C4", "C9", "D1"))
+FROM per""", ("G4", "C4", "C9"))
 def q_moves(spark, sf_dir):
     return movement.detect_moves(driver_appearances(spark, sf_dir, ()))
 
@@ -45,7 +45,7 @@ tf AS (SELECT player, season, team, min(league_no * 100000000000000 + CAST(strft
        FROM app GROUP BY player, season, team),
 teams AS (SELECT player, season, string_agg(team, ' → ' ORDER BY k) AS "AllTeams" FROM tf GROUP BY player, season)
 SELECT b.player, b.season, b.team AS "Team", b.league AS "League", b.role AS "Role", b.tier AS "Tier", t."AllTeams"
-FROM best b JOIN teams t USING (player, season)""", ("F32", "C28"))
+FROM best b JOIN teams t USING (player, season)""", ("F32",))
 def q_best(spark, sf_dir):
     return movement.best_tier_record(driver_appearances(spark, sf_dir))
 

@@ -64,7 +64,7 @@ SELECT player, debut_season, debut_lol_season, debut_league, debut_tier, debut_r
 FROM longitudinal"""
 
 
-@register("panel_longitudinal", LONGITUDINAL_SQL, ("A4", "C5", "C11", "C12", "G1", "G2", "E3", "F6"))
+@register("panel_longitudinal", LONGITUDINAL_SQL, ("C5", "C11", "C12", "G1", "G2", "E3", "F6"))
 def q_longitudinal(spark, sf_dir):
     return longitudinal(spark, sf_dir)
 

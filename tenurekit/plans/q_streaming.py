@@ -32,7 +32,7 @@ def _replay(spark, sf_dir, refresh: bool):
 
 
 @register("stream_ingest", with_sql(PANEL_SQL) + """
-SELECT entity, period, split, league, row_id FROM panel""", ("S1", "A10", "H1"))
+SELECT entity, period, split, league, row_id FROM panel""", ("S1", "A10"))
 def q_ingest(spark, sf_dir):
     history, _ = _replay(spark, sf_dir, refresh=False)
     return I.read_history(spark, history)
