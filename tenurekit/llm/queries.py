@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_main, kn_lm, lang_id, license_scan, mixing, near_dup, pii_weak, quality_fm, quality_rules
+from . import byte_bpe, decontam, divergence, fim, html_main, kn_lm, lang_id, license_scan, mixing, near_dup, pii_weak, quality_fm, quality_rules
 from .base import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,96 @@ SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (copies * si
 @_register("op10_mixing", OP10_SQL)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+# ---- 11 source divergence audit ---------------------------------------------
+
+OP11_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT n.lang, n.source, kept.term, coalesce(cnt.c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(cnt.c, 0) + 1)) // (n.n + v.v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (kept.c + 1)) // (v.n + v.v)::HUGEINT AS q
+  FROM n JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN cnt ON cnt.lang = n.lang AND cnt.source = n.source AND cnt.term = kept.term),
+pr AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pr.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pr ON pr.lang = a.lang AND pr.source = a.source AND pr.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+@_register("op11_source_divergence", OP11_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+# ---- 12 byte-level BPE --------------------------------------------------------
+
+
+def byte_bpe_path() -> str:
+    """The production vocabulary file (the operator takes any path)."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@_register("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.load(spark, byte_bpe_path())
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    both = byte_bpe.decode(ids.select("doc_id", "ids"), vocabulary)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ---- 13 fill in the middle ------------------------------------------------------
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+x AS (
+  SELECT *, len(w) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+y AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (
+  SELECT *, array_to_string(list_slice(w, 1, a), '') AS pre, array_to_string(list_slice(w, a + 1, z), '') AS mid,
+         array_to_string(list_slice(w, z + 1, n), '') AS suf FROM y),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+            ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS out FROM p),
+r AS (
+  SELECT *, strpos(out, '<P>') AS ip, strpos(out, '<S>') AS si, strpos(out, '<M>') AS im FROM o)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars, sha256(out) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN out
+         WHEN 'psm' THEN substr(out, 4, si - 4) || substr(out, im + 3) || substr(out, si + 3, im - si - 3)
+         ELSE substr(out, ip + 3, im - ip - 3) || substr(out, im + 3) || substr(out, 4, ip - 4) END) AS restored_sha256
+FROM r"""
+
+
+@_register("op13_fill_in_middle", OP13_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "pieces")
+    return fim.restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")

@@ -150,3 +150,24 @@ def hash_of_words(words: list[str]) -> np.ndarray:
     ends = np.cumsum([len(w) for w in raw])
     b = np.frombuffer(b"".join(raw), np.uint8)
     return span_hashes(b, ends - np.array([len(w) for w in raw]), ends, False)
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... of each span, one span after the other."""
+    lengths = np.asarray(lengths, np.int64)
+    total = int(lengths.sum())
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(total, dtype=np.int64)
+
+
+def same_spans(a: np.ndarray, a_starts, a_ends, b: np.ndarray, b_starts, b_ends) -> np.ndarray:
+    """Whether each byte span of ``a`` equals its span of ``b``, byte by byte."""
+    same = (a_ends - a_starts) == (b_ends - b_starts)
+    at = np.flatnonzero(same)
+    lengths = (a_ends - a_starts)[at]
+    if int(lengths.sum()):
+        differ = a[ragged(a_starts[at], lengths)] != b[ragged(b_starts[at], lengths)]
+        ends = np.cumsum(lengths)
+        wrong = np.concatenate(([0], np.cumsum(differ)))
+        same[at] = wrong[ends] == wrong[ends - lengths]
+    return same
