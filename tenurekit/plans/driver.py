@@ -227,3 +227,30 @@ app AS (
          role, region, row_id AS row_no
   FROM panel WHERE team IS NOT NULL
 )"""
+
+
+# The same stats under names that the lookup tables know: four roles and four
+# leagues in their spellings, one of each unknown, countries by nation number.
+NAMED_ROLE = {"AUTOMOBILE": "Top", "BUILDING": "jng", "FURNITURE": "Middle", "HOUSEHOLD": "AD Carry"}
+NAMED_LEAGUE = {"1-URGENT": "LCK", "2-HIGH": "EU LCS", "3-MEDIUM": "NALCS", "5-LOW": "LMS"}
+NAMED_COUNTRY = ["South Korea", "China", " Denmark ", "Atlantis", ""]
+
+
+def driver_stats_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.clean import map_literal
+    number = F.regexp_extract("country", r"(\d+)$", 1).try_cast("int")
+    return driver_stats(spark, sf_dir).withColumns({
+        "role": F.coalesce(F.element_at(map_literal(NAMED_ROLE), F.col("role")), F.lit("Analyst")),
+        "league": F.coalesce(F.element_at(map_literal(NAMED_LEAGUE), F.col("league")), F.lit("Nowhere Cup")),
+        "country": F.get(F.array(*[F.lit(c) for c in NAMED_COUNTRY]), number % 5)})
+
+
+NAMED_SQL = """
+named AS (
+  SELECT player, season, row_no, team,
+         CASE league WHEN '1-URGENT' THEN 'LCK' WHEN '2-HIGH' THEN 'EU LCS' WHEN '3-MEDIUM' THEN 'NALCS' WHEN '5-LOW' THEN 'LMS' ELSE 'Nowhere Cup' END AS league,
+         CASE role WHEN 'AUTOMOBILE' THEN 'Top' WHEN 'BUILDING' THEN 'jng' WHEN 'FURNITURE' THEN 'Middle' WHEN 'HOUSEHOLD' THEN 'AD Carry' ELSE 'Analyst' END AS role,
+         tier, ['South Korea', 'China', ' Denmark ', 'Atlantis', ''][1 + CAST(regexp_extract(country, '(\\d+)$', 1) AS INTEGER) % 5] AS country,
+         games, win_rate, kda
+  FROM stats
+)"""

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import cohort, models as M, score as S
 from ..operators.careers import career_metrics
-from ..sources.landing import report_json
 from .q_careers import MODEL_LEAGUES, MODEL_ROLES, MODEL_SQL, model_frame, records
 from .q_describe import r6, sql_r6
 from .registry import register
@@ -212,12 +211,14 @@ def q_score(spark, sf_dir):
         "errors", F.array_join("errors", "; "))
 
 
-@register("model_training_report", None, ())
+@register("model_training_report", None, ("I15", "A9"))
 def q_report(spark, sf_dir):
-    e = split_frame(spark, sf_dir)
-    sizes = e.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("split") == "train").alias("n_train"),
-                  F.count_if(F.col("split") == "test").alias("n_test"))
-    coefs, _, _ = cox(spark, sf_dir)
-    hr = coefs.select(F.col("term"), F.round("hazard_ratio", 3).alias("hazard_ratio"),
-                      F.round("p_value", 4).alias("p_value"), "significant", F.col("term").alias("_ord"))
-    return report_json({"dataset": sizes, "hazard_ratios": hr})
+    """The whole report, read from a saved and reloaded bundle."""
+    from ..operators import bundle as B, reports
+    from ..session import cut_lineage
+    from ..streaming.incremental import scratch_dir
+    from .q_reports import PARAMS, fit_bundle
+    split = cut_lineage(split_frame(spark, sf_dir))
+    root = scratch_dir(spark, "bundle")
+    back = B.load(spark, root, B.save(fit_bundle(spark, sf_dir, split), root))
+    return reports.training_report(back, split, COX_FEATURES, PARAMS)

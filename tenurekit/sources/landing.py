@@ -7,6 +7,7 @@ index: increasing through each file), and read many files as one scan.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,28 +143,68 @@ def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None,
     w.save(out)
 
 
-def report_json(parts: dict[str, DataFrame]) -> DataFrame:
-    """One-row JSON report with keys in the given order.  A part with one
-    row and no ``_ord`` column becomes an object; a part with an ``_ord``
-    column becomes an array of objects sorted by it.  Each part is reduced to
-    one JSON fragment by Spark; the fragments (one per key) are joined in key
-    order, and the result is written with ``write.text``."""
-    frags = None
-    for i, (key, df) in enumerate(parts.items()):
-        body = [c for c in df.columns if c != "_ord"]
-        if "_ord" in df.columns:
-            j = df.agg(F.to_json(F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col("_ord"), F.struct(*body).alias("v")))),
-                lambda x: x["v"])).alias("j"))
-        elif body == [key]:  # a single column named like the key: its value itself
-            j = df.agg(F.to_json(F.first(F.col(key))).alias("j"))
-        else:
-            j = df.agg(F.to_json(F.first(F.struct(*body))).alias("j"))
-        f = j.select(F.lit(i).alias("i"), F.concat(F.lit(f'"{key}":'), F.col("j")).alias("frag"))
-        frags = f if frags is None else frags.unionByName(f)
-    return frags.agg(F.concat(F.lit("{"), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("i", "frag"))), lambda x: x["frag"]), ","), F.lit("}"))
-        .alias("value"))
+def _json_key(key: Column) -> Column:
+    """A string as a JSON string (quotes included)."""
+    j = F.to_json(F.array(key))
+    return F.substring(j, F.lit(2), F.length(j) - 2)
+
+
+def _fragment(key: str, df: DataFrame, nulls: bool) -> DataFrame:
+    """One part as one JSON text."""
+    opts = {"ignoreNullFields": "false"} if nulls else {}
+    body = [c for c in df.columns if c not in ("_ord", "_key")]
+    if "_key" in df.columns:
+        ord_col = F.col("_ord") if "_ord" in df.columns else F.col("_key")
+        entries = F.array_sort(F.collect_list(F.struct(ord_col.alias("o"), F.concat(
+            _json_key(F.col("_key")), F.lit(":"), F.to_json(F.struct(*body), opts)).alias("e"))))
+        j = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda x: x["e"]), ","), F.lit("}"))
+    elif "_ord" in df.columns:
+        j = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_ord"), F.struct(*body).alias("v")))), lambda x: x["v"]), opts)
+    elif body == [key]:  # a single column named like the key: its value itself
+        j = F.to_json(F.first(F.struct(F.col(key))), {"ignoreNullFields": "false"})
+        j = F.substring(j, F.lit(len(f'{{"{key}":') + 1), F.length(j) - len(f'{{"{key}":') - 1)
+    else:
+        j = F.to_json(F.first(F.struct(*body)), opts)
+    return df.agg(F.coalesce(j, F.lit("null")).alias("j"))
+
+
+def report_json(parts: dict, nulls: bool = False) -> DataFrame:
+    """One-row JSON report with keys in the given order, assembled in one
+    plan.  A part is
+
+    * a one-row frame: an object (or, with one column named like the key, its value);
+    * a frame with ``_ord``: an array of objects in that order;
+    * a frame with ``_key``: an object of objects by key, in the order of ``_ord`` if there is one, else of the key;
+    * a dict of parts: an object;
+    * anything else: itself, as JSON.
+
+    Every frame is reduced to one JSON fragment by Spark; the fragments are put
+    together in key order, and the result is written with ``write.text``.
+    ``nulls`` keeps fields without a value."""
+    leaves: list[DataFrame] = []
+
+    def shape(d: dict) -> list:
+        pieces: list = ["{"]
+        for k, (key, part) in enumerate(d.items()):
+            pieces.append(("," if k else "") + json.dumps(key) + ":")
+            if isinstance(part, dict):
+                pieces += shape(part)
+            elif isinstance(part, DataFrame):
+                pieces.append(len(leaves))
+                leaves.append(_fragment(key, part, nulls).select(F.lit(len(leaves)).alias("i"), "j"))
+            else:
+                pieces.append(json.dumps(part, separators=(",", ":"), ensure_ascii=False))
+        return [*pieces, "}"]
+
+    pieces = shape(parts)
+    if not leaves:
+        raise ValueError("a report needs at least one frame")
+    frags = leaves[0]
+    for f in leaves[1:]:
+        frags = frags.unionByName(f)
+    by = F.map_from_entries(F.collect_list(F.struct("i", "j")))
+    return frags.agg(by.alias("m")).select(
+        F.concat(*[F.lit(x) if isinstance(x, str) else F.element_at("m", F.lit(x)) for x in pieces]).alias("value"))
 
 
 def resumable_append(spark: SparkSession, new_batches: DataFrame, done: DataFrame | None,
