@@ -109,16 +109,22 @@ def _sql(c) -> str:
 
 
 # C6 / C8 ---------------------------------------------------------------------
+def _is_text(c: Column) -> Column:
+    """Whether a column's type is text; settled when the plan is analysed."""
+    return F.typeof(c).isin("string", "void")
+
+
 def parse_percent(c, rule: str = "fraction") -> Column:
     """Three percent rules:
     'fraction' -> text column: strip '%' and divide by 100 (every value, as
-                   the text branch of the season-file reader does);
+                   the text branch of the season-file reader does); a numeric
+                   column is a fraction already and stays;
     'plain'    -> plain number only; text carrying '%' gives null;
     'points'   -> strip '%' and keep the 0-100 scale."""
     s = F.trim(_c(c).cast("string"))
     num = _try_double(F.regexp_replace(s, "%", ""))
     if rule == "fraction":
-        return num / 100.0
+        return F.when(_is_text(_c(c)), num / 100.0).otherwise(_try_double(s))
     if rule == "plain":
         return F.when(s.contains("%"), F.lit(None).cast("double")).otherwise(_try_double(s))
     if rule == "points":
@@ -138,13 +144,14 @@ def coerce_number(c, default: float | None = None) -> Column:
 
 # C7 -------------------------------------------------------------------------
 def parse_games(c, truncate_text: bool = False) -> Column:
-    """Integer games from a text column: bad text ('-', '38.5') -> null and is
-    skipped by the sums.  ``truncate_text=True`` truncates decimal text
-    instead (the numeric-column case: 38.5 -> 38)."""
+    """Integer games.  Text column: bad text ('-', '38.5') -> null and is
+    skipped by the sums; ``truncate_text=True`` truncates decimal text instead.
+    Numeric column: truncated (38.0 and 38.5 -> 38)."""
     s = F.trim(_c(c).cast("string"))
+    number = F.coalesce(s.try_cast("int"), s.try_cast("double").try_cast("int"))
     if truncate_text:
-        return F.coalesce(s.try_cast("int"), s.try_cast("double").try_cast("int"))
-    return s.try_cast("int")
+        return number
+    return F.when(_is_text(_c(c)), s.try_cast("int")).otherwise(number)
 
 
 # C9 -------------------------------------------------------------------------

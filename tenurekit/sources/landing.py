@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +75,48 @@ def load_season_csvs(spark: SparkSession, paths: list[str], enriched: bool = Tru
     df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
           .option("enforceSchema", False).csv(paths))
     df = with_file_order(df)
-    name = F.col("_metadata.file_name")
-    return df.withColumn("season", F.regexp_extract(name, r"_S(\d+)", 1).try_cast("int"))
+    # the file's own name, or that of the folder a distributed writer made of it
+    return df.withColumn("season", F.regexp_extract(F.col("_metadata.file_path"), r"_S(\d+)[^/]*(?:/part-[^/]*)?$", 1).try_cast("int"))
+
+
+# FIXED VALUES: texts that a CSV reader takes as missing.
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                 "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def numeric_columns(df: DataFrame, file: str, cols: list[str]) -> DataFrame:
+    """Per file, whether each column is numeric there: every value that is not
+    missing reads as a number.  A column without values is numeric."""
+    def fine(c):
+        return F.coalesce(F.col(f"`{c}`"), F.lit("")).isin(MISSING_TEXTS) | F.col(f"`{c}`").try_cast("double").isNotNull()
+    return df.groupBy(F.col(file).alias("_file")).agg(*[F.every(fine(c)).alias(f"_num_{i}") for i, c in enumerate(cols)])
+
+
+def reconcile_columns(df: DataFrame, file: str, games: str = "Games", win_rate: str = "Win rate", max_files: int = 100_000) -> DataFrame:
+    """C6/C7 across files that were landed apart: a column may be numeric in
+    one file and text in another, and its values follow its own file.  Games of
+    a numeric file are truncated (38.0 -> 38), those of a text file count only
+    as integers; a win rate of a numeric file is a fraction (0.62), one of a
+    text file a percentage.  Both columns come back numeric.  The kinds are one
+    row per file: broadcast up to ``max_files`` files, joined beyond."""
+    kinds = numeric_columns(df, file, [games, win_rate])
+    if df.select(file).distinct().limit(max_files + 1).count() <= max_files:
+        kinds = F.broadcast(kinds)
+    out = df.join(kinds, F.col(file).eqNullSafe(F.col("_file")))
+    text = lambda c: F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`"))
+    return out.withColumns({
+        games: F.when(F.col("_num_0"), text(games).try_cast("double").try_cast("long")).otherwise(F.trim(text(games)).try_cast("long")),
+        win_rate: F.when(F.col("_num_1"), text(win_rate).try_cast("double"))
+                   .otherwise(F.regexp_replace(F.trim(text(win_rate)), "%", "").try_cast("double") / 100.0),
+    }).drop("_file", "_num_0", "_num_1")
+
+
+def read_season_folder(spark: SparkSession, folder: str, seasons=None, enriched: bool = True) -> DataFrame:
+    """A1 + H1 + D1: every season file of a folder in one scan, rows without a
+    player left out, games and win rate by the kind of their own file."""
+    df = load_season_csvs(spark, season_files(spark, folder, seasons), enriched)
+    df = df.where(F.trim(F.coalesce(F.col("Player"), F.lit(""))) != "")
+    return reconcile_columns(df, "season")
 
 
 def load_sheet_dirs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame | None]:
@@ -215,3 +256,21 @@ def resumable_append(spark: SparkSession, new_batches: DataFrame, done: DataFram
     pending = new_batches if done is None else new_batches.join(done.select(*keys).distinct(), keys, "left_anti")
     pending.write.mode("append").format(fmt).save(target)
     return pending
+
+
+def append_new_rows(spark: SparkSession, rows: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
+    """A10: idempotent append keyed by content.  A row is known by the sha-256
+    of its ``columns`` (all by default); only rows whose key the target does not
+    hold are appended, equal rows of one call once.  Returns the rows appended
+    by this call, from the target.  A call that died half-way is simply
+    repeated: what it wrote is found, the rest is added."""
+    cols = columns or rows.columns
+    keyed = rows.withColumn("_content", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)).dropDuplicates(["_content"])
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    exists = fs.exists(path) and any(n.startswith("_call=") for n in list_names(spark, target))
+    if exists:
+        keyed = keyed.join(spark.read.parquet(target).select("_content"), "_content", "left_anti")
+    call = uuid.uuid4().hex
+    keyed.write.mode("error").parquet(f"{target}/_call={call}")
+    return spark.read.schema(keyed.schema).parquet(f"{target}/_call={call}").drop("_content")
