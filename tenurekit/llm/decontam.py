@@ -3,14 +3,16 @@
 Every benchmark item is cut into windows of ``n`` consecutive words (an item
 of fewer words, but not none, is one window).  Their hashes form sorted arrays
 that are broadcast after a check of their number; a larger benchmark is taken
-in several parts, one broadcast each, so no window is left out.  Tasks scan
+in several parts, one index and one broadcast at a time, so no window is left
+out.  The hits of all parts are gathered on the unchanged texts before anything
+is cut, so the number of parts never changes a result.  Tasks scan
 the token windows of every document against the hashes and verify each hit on
 the words themselves before it counts.
 
 Defined results: null or wordless texts have no words, no hits and are clean;
 an empty benchmark leaves everything clean; repeated items both count; null
 item ids match but are not listed; extra columns are ignored (``decontaminate``
-keeps them).
+keeps them, whatever their names).
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from .base import stored
 
 #: windows per broadcast part: 2**20 of at most a few hundred bytes each
 MAX_PART_WINDOWS = 1 << 20
@@ -73,7 +76,7 @@ class WindowIndex:
                     yield place, length, int(ids[k])
 
 
-def _scan(index: WindowIndex | None, with_spans: bool):
+def _scan(index: WindowIndex | None, with_spans: bool, names: list[str]):
     fold = tv.FOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,67 +111,56 @@ def _scan(index: WindowIndex | None, with_spans: bool):
                     hit_lists.append(row)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(n_words, pa.int64()), pa.array(hit_lists, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                [*batch.schema.names, "_n_words", "_hits", "_items"])
+                [*batch.schema.names, *names])
     return run
 
 
-def _merge(step: int):
-    """Number of words in the union of [start, end) runs."""
-    def count(runs) -> int:
-        total, upto = 0, 0
-        for s, e in sorted(zip(runs[0::step], runs[1::step])):
-            total += max(0, e - max(s, upto))
-            upto = max(upto, e)
-        return total
-    return count
-
-
-def window_parts(benchmark: DataFrame, n: int, max_windows: int) -> list[WindowIndex]:
-    """The benchmark's windows in parts of at most about ``max_windows``."""
+def window_parts(benchmark: DataFrame, n: int, max_windows: int) -> Iterator[WindowIndex]:
+    """The benchmark's windows in parts of at most about ``max_windows``, built
+    one at a time."""
     w = benchmark_windows(benchmark, n).groupBy("words").agg(F.collect_set("item_id").alias("items"))
     parts = 1 + w.count() // max_windows
-    if parts == 1:
-        return [WindowIndex([(r.words, r["items"]) for r in w.collect()])]
     part = F.pmod(F.xxhash64("words"), F.lit(parts))
-    return [WindowIndex([(r.words, r["items"]) for r in w.filter(part == k).collect()]) for k in range(parts)]
+    for k in range(parts):
+        yield WindowIndex([(r.words, r["items"]) for r in (w if parts == 1 else w.filter(part == k)).collect()])
 
 
-def _scanned(docs: DataFrame, index: WindowIndex, columns: list[str], with_spans: bool) -> DataFrame:
+def _free(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores before them until no column has them."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def _scanned(docs: DataFrame, index: WindowIndex, names: list[str], with_spans: bool) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(index)
-    d = docs.select(*columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema)
-    return d.mapInArrow(_scan(sent, with_spans), f"{schema}, _n_words long, _hits array<long>, _items array<string>")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(_scan(sent, with_spans, names), f"{schema}, `{names[0]}` long, `{names[1]}` array<long>, `{names[2]}` array<string>")
+
+
+def _runs(hits, step: int):
+    """[start, end) runs of word places as structs, from a flat array."""
+    at = F.sequence(F.lit(0), F.greatest(F.size(hits) - step, F.lit(0)), F.lit(step))
+    return F.when(F.size(hits) > 0, F.transform(at, lambda i: F.struct(F.get(hits, i).alias("s"), F.get(hits, i + 1).alias("e")))).otherwise(
+        F.array().cast("array<struct<s: bigint, e: bigint>>"))
+
+
+def _covered(hits):
+    """Number of words in the union of the runs, which may overlap."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))
+    return F.aggregate(F.array_sort(_runs(hits, 2)), zero, lambda a, r: F.struct(
+        (a["n"] + F.greatest(F.lit(0).cast("long"), r["e"] - F.greatest(r["s"], a["upto"]))).alias("n"),
+        F.greatest(a["upto"], r["e"]).alias("upto")), lambda a: a["n"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10,
                   max_part_windows: int = MAX_PART_WINDOWS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    spark = docs.sparkSession
-    parts = window_parts(benchmark, n, max_part_windows)
-    narrow = docs.select("doc_id", "text")
-    if len(parts) == 1:
-        found = _scanned(narrow, parts[0], ["doc_id", "text"], False).drop("text")
-        hits, items = F.col("_hits"), F.array_sort("_items")
-    else:  # each part scans all documents; rows are put together by document
-        narrow = narrow.withColumn("_row", F.xxhash64("doc_id", "text"))
-        scans = [_scanned(narrow, p, ["_row", "doc_id", "text"], False).drop("text") for p in parts]
-        counts = scans[0].groupBy("_row").agg(F.count(F.lit(1)).alias("_copies"))
-        some = None
-        for s in scans:
-            s = s.filter(F.size("_hits") > 0).select("_row", "_hits", "_items")
-            some = s if some is None else some.unionByName(s)
-        some = some.distinct().groupBy("_row").agg(F.flatten(F.collect_list("_hits")).alias("_hits"),
-                                        F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"))
-        found = scans[0].select("_row", "doc_id", "_n_words").join(some, "_row", "left")
-        del counts
-        hits = F.coalesce("_hits", F.array().cast("array<long>"))
-        items = F.array_sort(F.coalesce("_items", F.array().cast("array<string>")))
-    # runs of one part are disjoint; those of several may overlap
-    if len(parts) == 1:
-        pairs = F.expr("transform(sequence(0, cast(size(_hits) / 2 as int)), i -> coalesce(get(_hits, 2 * i + 1) - get(_hits, 2 * i), 0L))")
-        n_hit = F.aggregate(pairs, F.lit(0).cast("long"), lambda a, x: a + x)
-    else:
-        n_hit = F.udf(_merge(2), "long")(hits)
+    found = _all_hits(docs.select("doc_id", "text"), benchmark, n, max_part_windows, ["_n_words", "_hits", "_items"], False)
+    n_hit, items = _covered(F.col("_hits")), F.array_sort(F.array_distinct("_items"))
     return found.select(
         "doc_id", F.col("_n_words").alias("n_words"), n_hit.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
@@ -176,6 +168,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10,
         (n_hit > 0).alias("contaminated"))
 
 
+def _all_hits(docs: DataFrame, benchmark: DataFrame, n: int, max_windows: int, names: list[str], with_spans: bool) -> DataFrame:
+    """``docs`` with the hits of every part, found on the unchanged texts.  With
+    several parts the table is stored after each, so that one part's index is in
+    memory at a time."""
+    parts = window_parts(benchmark, n, max_windows)
+    words, hits, items = names
+    out = _scanned(docs, next(parts), names, with_spans)
+    more = _free(out.columns, "more_words", "more_hits", "more_items")
+    for part in parts:
+        out = _scanned(stored(out, "decontam-part"), part, more, with_spans)
+        out = out.withColumns({hits: F.concat(hits, more[1]), items: F.concat(items, more[2])}).drop(*more)
+    return out
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str = "document",
                   max_part_windows: int = MAX_PART_WINDOWS) -> DataFrame:
     """``docs`` without what the benchmark holds, same columns.
@@ -185,23 +191,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str
     the texts and keeps the documents."""
     if mode not in ("document", "span"):
         raise ValueError(f"unknown mode {mode}")
-    out = docs
-    for part in window_parts(benchmark, n, max_part_windows):
-        found = _scanned(out, part, out.columns, True)
-        if mode == "document":
-            out = found.filter(F.size("_hits") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
-        else:
-            cut = F.udf(_cut, "string")("text", "_hits")
-            text = F.when(F.size("_hits") == 0, F.col("text")).otherwise(cut)
-            out = found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return out
+    names = _free(docs.columns, "_n_words", "_hits", "_items")
+    found = _all_hits(docs, benchmark, n, max_part_windows, names, True)
+    hits = F.col(f"`{names[1]}`")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if mode == "document":
+        return found.filter(F.size(hits) == 0).select(*columns)
+    cut = F.udf(_cut, "string")("text", hits)
+    return found.withColumn("text", F.when(F.size(hits) == 0, F.col("text")).otherwise(cut)).select(*columns)
 
 
 def _cut(text: str | None, hits: list[int]) -> str | None:
+    """The text without the byte spans of the runs, which may overlap."""
     if text is None:
         return None
     raw, kept, upto = text.encode("utf-8", "surrogatepass"), [], 0
-    for a, z in zip(hits[2::4], hits[3::4]):
-        kept.append(raw[upto:a])
-        upto = z
+    for a, z in sorted(zip(hits[2::4], hits[3::4])):
+        if a > upto:
+            kept.append(raw[upto:a])
+        upto = max(upto, z)
     return b"".join([*kept, raw[upto:]]).decode("utf-8", "replace")

@@ -9,8 +9,12 @@ cell of filter l, so ANDing an n-gram's cells returns all languages containing
 it at once.  A text's score for a language is the number of its n-grams
 reported for it, corrected for the filter's false-positive rate.
 
-The array has ``cells`` entries (a parameter), whatever the corpus holds;
-languages beyond 64 take further arrays.
+No n-gram is left out for being rare: a language with two short learning texts
+keeps all of theirs.  The array is sized from the largest language's number of
+kept n-grams, ``CELLS_PER_GRAM`` entries each (a false-positive rate of some five
+per cent at most), from ``MIN_CELLS`` to ``MAX_CELLS`` entries; at that bound, 64 MB,
+the correction for false positives takes over.  Languages beyond 63 take further
+arrays.
 
 Defined results: null text or text without a letter: ``und``, score 0; no
 learning rows: ``und`` throughout; ties go to the language first by name; a
@@ -29,10 +33,10 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-CELLS = 1 << 21
+CELLS_PER_GRAM = 8
+MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 23
 HASHES = 2
 SHARE = 0.25
-LEAST = 3
 _FLUSH = 2_000_000
 
 _letters = np.zeros(256, bool)
@@ -141,8 +145,9 @@ class Filters:
         return out / np.maximum(total, 1)[:, None]
 
 
-def learn(docs: DataFrame, cells: int = CELLS, hashes: int = HASHES, share: float = SHARE, least: int = LEAST) -> Filters | None:
-    """Filters from the text and non-null lang of all rows of ``docs``."""
+def learn(docs: DataFrame, cells: int | None = None, hashes: int = HASHES, share: float = SHARE) -> Filters | None:
+    """Filters from the text and non-null lang of all rows of ``docs``; ``cells``
+    (a power of two) is taken from the number of kept n-grams by default."""
     spark = docs.sparkSession
     counts = (docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
               .mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -153,16 +158,20 @@ def learn(docs: DataFrame, cells: int = CELLS, hashes: int = HASHES, share: floa
         return None
     langs = sorted(totals)
     table = spark.createDataFrame([(x, i, float(totals[x])) for i, x in enumerate(langs)], "lang string, lang_no long, total double")
-    rate = counts.filter(F.col("n") >= least).join(F.broadcast(table), "lang").withColumn("rate", F.col("n") / F.col("total"))
+    rate = counts.join(F.broadcast(table), "lang").withColumn("rate", F.col("n") / F.col("total"))
     most = rate.groupBy("gram").agg(F.max("rate").alias("most"))
     kept = rate.join(most, "gram").filter(F.col("rate") >= share * F.col("most")).select("gram", "lang_no")
+    if cells is None:
+        kept = stored(kept, "lang-kept")
+        largest = kept.groupBy("lang_no").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1  # of a row per language
+        cells = min(max(1 << (CELLS_PER_GRAM * largest - 1).bit_length(), MIN_CELLS), MAX_CELLS)
     sliced = (kept.mapInArrow(_place(cells, hashes), "cell long, part int, mask long")
               .groupBy("part", "cell").agg(F.bit_or("mask").alias("mask"))).toArrow()  # at most `cells` rows a part
     masks = [np.zeros(cells, np.int64) for _ in range((len(langs) + 62) // 63)]
     part, cell, mask = (sliced.column(c).to_numpy() for c in ("part", "cell", "mask"))
     for k, m in enumerate(masks):
         m[cell[part == k]] = mask[part == k]
-    return Filters(langs, masks, max(langs, key=lambda x: (totals[x], x)), hashes)
+    return Filters(langs, masks, min(langs, key=lambda x: (-totals[x], x)), hashes)
 
 
 def _predict(sent):

@@ -73,7 +73,7 @@ def _assigned(cues: list[str]) -> str:
     return rf"(?:{'|'.join(sorted(cues, key=len, reverse=True))}){_ASSIGNED}"
 
 
-_QUOTED = r"\"[^\"\n]{4,64}\"|'[^'\n]{4,64}'"
+_QUOTED = r"\"[^\"\n]{4,}+\"|'[^'\n]{4,}+'"
 PATTERNS["cued"] = rf"(?iu)(?<!\p{{L}})(?:{_assigned(CUES)}(?:{_QUOTED}|\S{{4,}}+)|bearer[\x20][\w.~+/=-]{{8,}}+|{_ID_PREFIX}{_ID})"
 #: one of these is in every match of it, in lower case
 _CUED_STEMS = [*CUES, *("ssn|social security|social-security|national id|national-id|tax id|tax-id|taxid|passport n|account n|steuerid|steuer-id|"
@@ -83,6 +83,8 @@ _CUE_PREFIX = rf"(?iu)^(?:{_assigned(CUES)}|bearer[\x20]|{_ID_PREFIX})"
 
 MIN_PROBABILITY = 0.9
 MAX_STEPS = 200
+#: what all candidates weigh together, at most, against the start of the classifier
+MAX_EVIDENCE = 1000.0
 
 
 def _prefix(values: Column, first: Column, join) -> Column:
@@ -285,7 +287,9 @@ def _inputs(f: tuple[int, ...]) -> list[float]:
 
 def fit_classifier(table, posterior, rounds: int = 30, ridge: float = 1.0) -> list[float]:
     """Ridge logistic regression on the EM posteriors (Newton), weighted by
-    counts; the ridge pulls towards a start that sums the votes."""
+    counts; the ridge pulls towards a start that sums the votes.  The counts of
+    all candidates enter; they are scaled down to ``MAX_EVIDENCE`` in all, so that
+    the start keeps a say however large the corpus is."""
     import numpy as np
     start = np.array(_start_weights())
     w = start.copy()
@@ -293,7 +297,7 @@ def fit_classifier(table, posterior, rounds: int = 30, ridge: float = 1.0) -> li
         return w.tolist()
     x = np.array([_inputs(f) for f, _ in table])
     n = np.array([c for _, c in table], float)
-    n = n / n.sum() * min(n.sum(), 1000.0)  # counts beyond that add no certainty
+    n = n / n.sum() * min(n.sum(), MAX_EVIDENCE)
     y = np.array([posterior(f) for f, _ in table])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -126,13 +126,16 @@ def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Machine:
-    """Fit on at most ``max_rows`` labelled rows of ``docs``."""
+    """Fit on at most ``max_rows`` labelled documents of ``docs``, those whose ids
+    hash lowest.  Rows that share an id count once, by the text whose hash is
+    lowest, so the bound holds for rows as well."""
     seen = (labels.select("doc_id", F.col("quality").cast("double").alias("q")).filter("doc_id IS NOT NULL AND q IS NOT NULL")
             .groupBy("doc_id").agg(F.avg("q").alias("q")).filter("q <> 0.5").select("doc_id", (F.col("q") > 0.5).cast("float").alias("y")))
     known = docs.select("doc_id").join(seen, "doc_id").distinct()
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # the documented bound
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text").coalesce(64)
-            .mapInArrow(_collect_features, "y float, cols array<int>, vals array<float>").limit(2 * max_rows).toArrow())
+    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id").agg(F.first("y").alias("y"), F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).select("y", "text")
+            .mapInArrow(_collect_features, "y float, cols array<int>, vals array<float>").toArrow())
     width = WORD_CELLS + STATS
     y = rows.column("y").to_numpy()
     if len(y) == 0 or y.min() == y.max():
