@@ -15,26 +15,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from .prefix import running_before
+from .prefix import running_before, running_sums
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None) -> DataFrame:
     """Product-limit estimate per group at each distinct time:
-    S(t) = prod over times <= t of (1 - d/n), n = at risk just before t."""
+    S(t) = prod over times <= t of (1 - d/n), n = at risk just before t.
+
+    Both the numbers at risk and the product (as running sums of logs and of the
+    factors that are 0) are range-split prefix sums over the distinct times, so
+    an ungrouped curve, or one of a hot group, never meets in one task."""
     keys = [group] if group else []
     c = df.where(F.col(time).isNotNull()).groupBy(*keys, F.col(time).cast("double").alias("t")).agg(
         F.sum(F.col(event).cast("long")).alias("d"), F.count(F.lit(1)).alias("c"))
-    before = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.partitionBy(*keys)
-    upto = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    c = c.withColumn("n_at_risk", F.sum("c").over(total) - F.coalesce(F.sum("c").over(before), F.lit(0)))
+    # rows at later times, from a sum in falling order
+    c = running_sums(c, keys, [F.desc("t")], {"_later": "c"})
+    c = c.withColumn("n_at_risk", (F.col("_later") + F.col("c")).cast("long"))
     # log of each factor; a factor of 0 (everyone left died) zeroes the curve
     zero = (F.col("d") == F.col("n_at_risk"))
-    c = c.withColumns({"_lg": F.when(zero, F.lit(0.0)).otherwise(F.log1p(-F.col("d") / F.col("n_at_risk"))),
-                       "_z": zero.cast("int")})
+    c = c.withColumns({"_lg": F.when(zero, F.lit(0.0)).otherwise(F.coalesce(F.log1p(-F.col("d") / F.col("n_at_risk")), F.lit(0.0))),
+                       "_z": F.coalesce(zero, F.lit(False)).cast("int")})
+    c = running_sums(c, keys, ["t"], {"_slg": "_lg", "_sz": "_z"})
     return c.select(*keys, "t", "n_at_risk", "d",
-                    F.when(F.max("_z").over(upto) > 0, F.lit(0.0))
-                     .otherwise(F.exp(F.sum("_lg").over(upto))).alias("survival"))
+                    F.when(F.col("_sz") + F.col("_z") > 0, F.lit(0.0))
+                     .otherwise(F.exp(F.col("_slg") + F.col("_lg"))).alias("survival"))
 
 
 def logrank(df: DataFrame, time: str, event: str, group: str, a: str, b: str) -> DataFrame:

@@ -1,12 +1,11 @@
 """Statistics and models.
 
 Spark ML fits the forest, logistic and linear models.  The two estimators
-Spark lacks — penalised Cox proportional hazards and negative binomial
-regression — are written as iterative aggregations: each Newton / IRLS step
-is one Spark aggregate whose result is group-sized (one row per distinct
-duration, or one p×p matrix); only that small result reaches the driver,
-where numpy solves the p×p system.  Inputs to the iterative fits are
-checkpointed first so each step rereads a short lineage.
+Spark lacks are written as iterative aggregations: penalised Cox proportional
+hazards (``cox.py``) and negative binomial regression, where each step is one
+Spark aggregate of a p×p matrix; only that reaches the driver, where numpy
+solves the system.  Inputs to the iterative fits are checkpointed first so
+each step rereads a short lineage.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..session import broadcast_if_small, cut_lineage
+from .cox import _norm_sf, _safe_exp, fit_cox, tie_sums  # noqa: F401
 from .prefix import exact_quantiles, running_before
 
 
@@ -135,192 +135,7 @@ def fit_ols(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "term string, coef double, r2 double")
 
 
-# --- Cox proportional hazards (Efron ties, ridge penalty) ---------------------
-
-def _safe_exp(c: float) -> float:
-    return math.exp(c) if c < 709 else float("inf")
-
-
-def _norm_sf(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2.0))
-
-
-def _time_sums(data: DataFrame, beta: np.ndarray, zc: list[str], dur: str, ev: str):
-    """One Spark aggregate per Newton step: per distinct duration the sums of
-    w, w·z, w·z·zᵀ over all rows and over event rows (w = exp(z·β)), the
-    event count and the event covariate sums."""
-    p = len(zc)
-    eta = sum((F.col(c) * float(beta[i]) for i, c in enumerate(zc)), F.lit(0.0))
-    d = data.withColumn("_w", F.exp(eta))
-    e = F.col(ev) == 1
-    aggs = [F.sum("_w").alias("s0"), F.sum(F.when(e, F.col("_w"))).alias("d0"),
-            F.sum(F.when(e, 1).otherwise(0)).alias("de"), F.sum(F.when(e, eta)).alias("deta")]
-    for i in range(p):
-        aggs += [F.sum(F.col("_w") * F.col(zc[i])).alias(f"s1_{i}"),
-                 F.sum(F.when(e, F.col("_w") * F.col(zc[i]))).alias(f"d1_{i}"),
-                 F.sum(F.when(e, F.col(zc[i]))).alias(f"z_{i}")]
-        for j in range(i, p):
-            aggs += [F.sum(F.col("_w") * F.col(zc[i]) * F.col(zc[j])).alias(f"s2_{i}_{j}"),
-                     F.sum(F.when(e, F.col("_w") * F.col(zc[i]) * F.col(zc[j]))).alias(f"d2_{i}_{j}")]
-    rows = d.groupBy(dur).agg(*aggs).orderBy(F.col(dur).desc()).collect()  # one row per duration
-    return rows
-
-
-def _digamma(x: float) -> float:
-    out = 0.0
-    while x < 8.0:
-        out, x = out - 1.0 / x, x + 1.0
-    y = 1.0 / (x * x)
-    return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y * (1 / 132)))))
-
-
-def _trigamma(x: float) -> float:
-    out = 0.0
-    while x < 8.0:
-        out, x = out + 1.0 / (x * x), x + 1.0
-    y = 1.0 / (x * x)
-    return out + (1 + 0.5 / x + y * (1 / 6 - y * (1 / 30 - y * (1 / 42 - y * (1 / 30 - y * (5 / 66)))))) / x
-
-
-def _power_means(d: int, top: int) -> list[float]:
-    """sum over l < d of (l / d)^k for k = 0..top (Bernoulli's formula)."""
-    bernoulli = [1.0]
-    for m in range(1, top + 1):
-        bernoulli.append(-sum(math.comb(m + 1, j) * bernoulli[j] for j in range(m)) / (m + 1))
-    return [sum(math.comb(k + 1, j) * bernoulli[j] * float(d) ** (1 - j) for j in range(k + 1)) / (k + 1) for k in range(top + 1)]
-
-
-def tie_sums(s0: float, d0: float, d: int) -> tuple[float, float, float, float, float, float]:
-    """Efron's sums over the d tied events of one time, with f = l / d and
-    a = s0 - f d0: of log a, 1/a, f/a, 1/a^2, f/a^2 and f^2/a^2.
-
-    Few ties are summed one by one.  Many take a constant number of steps: a
-    power series in d0 / s0 where that is small, else the gamma function and
-    its derivatives (a = (d0 / d) (m - l) with m = d s0 / d0)."""
-    if d <= 64 or d0 <= 0:
-        f = np.arange(d) / d
-        a = s0 - f * d0
-        return (float(np.log(a).sum()), float((1 / a).sum()), float((f / a).sum()), float((1 / a**2).sum()),
-                float((f / a**2).sum()), float((f * f / a**2).sum()))
-    x = d0 / s0
-    if x < 0.05:
-        p = _power_means(d, 14)
-        return (d * math.log(s0) - sum(x**k / k * p[k] for k in range(1, 13)), sum(x**k * p[k] for k in range(13)) / s0,
-                sum(x**k * p[k + 1] for k in range(13)) / s0, sum((k + 1) * x**k * p[k] for k in range(13)) / s0**2,
-                sum((k + 1) * x**k * p[k + 1] for k in range(13)) / s0**2, sum((k + 1) * x**k * p[k + 2] for k in range(13)) / s0**2)
-    m, unit = d / x, d0 / d
-    logs = d * math.log(unit) + math.lgamma(m + 1) - math.lgamma(m - d + 1)
-    a1 = (_digamma(m + 1) - _digamma(m - d + 1)) / unit
-    a2 = (_trigamma(m - d + 1) - _trigamma(m + 1)) / unit**2
-    return logs, a1, (s0 * a1 - d) / d0, a2, (s0 * a2 - a1) / d0, (s0 * s0 * a2 - 2 * s0 * a1 + d) / d0**2
-
-
-def _efron(rows, p: int):
-    ll, g, H = 0.0, np.zeros(p), np.zeros((p, p))
-    S0, S1, S2 = 0.0, np.zeros(p), np.zeros((p, p))
-    risk0 = []
-    for r in rows:  # descending durations: running sums are the risk sets
-        S0 += r["s0"]
-        for i in range(p):
-            S1[i] += r[f"s1_{i}"]
-            for j in range(i, p):
-                S2[i, j] += r[f"s2_{i}_{j}"]
-                S2[j, i] = S2[i, j]
-        dcount = int(r["de"] or 0)
-        risk0.append((r[0], S0, dcount))
-        if dcount == 0:
-            continue
-        D0 = r["d0"] or 0.0
-        D1 = np.array([r[f"d1_{i}"] or 0.0 for i in range(p)])
-        D2 = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                D2[i, j] = D2[j, i] = r[f"d2_{i}_{j}"] or 0.0
-        zsum = np.array([r[f"z_{i}"] or 0.0 for i in range(p)])
-        ll += r["deta"] or 0.0
-        g += zsum
-        logs, a1, b1, a2, b2, c2 = tie_sums(S0, D0, dcount)
-        ll -= logs
-        g -= S1 * a1 - D1 * b1
-        cross = np.outer(S1, D1)
-        H -= S2 * a1 - D2 * b1 - (np.outer(S1, S1) * a2 - (cross + cross.T) * b2 + np.outer(D1, D1) * c2)
-    return ll, g, H, risk0
-
-
-def fit_cox(df: DataFrame, duration: str, event: str, features: Sequence[str],
-            penalizer: float = 0.1, tol: float = 1e-7, max_iter: int = 50):
-    """I8 + I10: Cox model with Efron ties and a ridge penalty
-    ``n·penalizer/2·‖β‖²`` on standardised covariates.  Returns
-    ``(coef_frame, baseline_frame, info)``: per term coef, se, z, p, hazard
-    ratio and significance; the Breslow baseline cumulative hazard at the
-    covariate means (one row per distinct duration)."""
-    spark = df.sparkSession
-    p = len(features)
-    base = df.select(F.col(duration).cast("double").alias("_t"), F.col(event).cast("int").alias("_e"),
-                     *[F.col(c).cast("double").alias(c) for c in features]).dropna()
-    st = base.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.avg(c).alias(f"m_{c}") for c in features],
-                  *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).collect()[0]
-    n = int(st["n"])
-    mean = np.array([st[f"m_{c}"] for c in features], dtype=float)
-    sd = np.array([st[f"s_{c}"] or 0.0 for c in features], dtype=float)
-    sd[sd == 0] = 1.0
-    zc = [f"_z{i}" for i in range(p)]
-    data = cut_lineage(base.select("_t", "_e", *[((F.col(c) - float(mean[i])) / float(sd[i])).alias(zc[i])
-                                                for i, c in enumerate(features)]))
-    beta = np.zeros(p)
-    pen = lambda b: 0.5 * n * penalizer * float(b @ b)
-    rows = _time_sums(data, beta, zc, "_t", "_e")
-    ll, g, H, _ = _efron(rows, p)
-    obj = ll - pen(beta)
-    it, converged = 0, False
-    for it in range(1, max_iter + 1):
-        gp = g - n * penalizer * beta
-        Hp = H - n * penalizer * np.eye(p)
-        try:
-            step = np.linalg.solve(Hp, gp)
-        except np.linalg.LinAlgError as e:
-            raise ValueError("Cox information matrix is singular") from e
-        t = 1.0
-        while True:
-            nb = beta - t * step
-            rows_n = _time_sums(data, nb, zc, "_t", "_e")
-            ll_n, g_n, H_n, _ = _efron(rows_n, p)
-            obj_n = ll_n - pen(nb)
-            if obj_n >= obj - 1e-9 * max(1.0, abs(obj)) or t < 1e-4:
-                break
-            t /= 2.0
-        if obj_n < obj - 1e-9 * max(1.0, abs(obj)):  # no step improves: keep the point reached
-            break
-        delta = np.max(np.abs(nb - beta))
-        beta, ll, g, H, obj, rows = nb, ll_n, g_n, H_n, obj_n, rows_n
-        if delta < tol:
-            converged = True
-            break
-    if not converged:
-        raise ValueError(f"the Cox fit did not converge in {it} steps")
-    Hp = H - n * penalizer * np.eye(p)
-    cov = np.linalg.inv(-Hp)
-    se_std = np.sqrt(np.diag(cov))
-    coef = beta / sd
-    se = se_std / sd
-    out = []
-    for i, c in enumerate(features):
-        z = coef[i] / se[i] if se[i] > 0 else float("nan")
-        pv = 2 * _norm_sf(abs(z))
-        out.append((c, float(coef[i]), float(se[i]), float(z), float(pv), _safe_exp(coef[i]), bool(pv < 0.05)))
-    coefs = spark.createDataFrame(out, "term string, coef double, se double, z double, p_value double, "
-                                       "hazard_ratio double, significant boolean")
-    # Breslow baseline at the covariate means (η centred), ascending time
-    _, _, _, risk = _efron(rows, p)
-    cum, bl = 0.0, []
-    for t_, s0, dcount in sorted(risk, key=lambda x: x[0]):
-        cum += dcount / s0 if s0 > 0 else 0.0
-        bl.append((float(t_), float(cum)))
-    baseline = spark.createDataFrame(bl, "time double, cum_hazard double")
-    info = {"iterations": it, "converged": converged, "loglik": ll, "n": n, "means": dict(zip(features, mean.tolist()))}
-    return coefs, baseline, info
-
+# --- Cox proportional hazards: scoring (the fit is in cox.py) ------------------
 
 def coefficient_map(coefs: DataFrame) -> Column:
     """All coefficients as one map: a scalar subquery over the few terms."""

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -40,6 +40,31 @@ def running_before(df: DataFrame, order_col: str | Sequence[str], value_col: str
             .drop("_pid", "_local", "_ptot", "_off"))
 
 
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: dict[str, str],
+                 partitions: int | None = None) -> DataFrame:
+    """Adds for each (out, value) of ``values`` the sum of ``value`` over the
+    rows of the same group that come strictly earlier in ``order`` (ties must
+    not occur).  A group is split over ranges like the whole table: its running
+    sums are local sums plus the offsets of its earlier ranges, so neither a hot
+    group nor an ungrouped table meets in one task."""
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = list(by)
+    r = df.repartitionByRange(p, *by, *order).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    r = cut_lineage(r.withColumns({f"_l_{o}": F.coalesce(F.sum(v).over(local), F.lit(0)) for o, v in values.items()}))
+    tot = r.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t_{o}") for o, v in values.items()])
+    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row per range and group
+    offs = tot.select(F.col("_pid").alias("_op"), *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(by)],
+                      *[F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_f_{o}") for o in values])
+    same = F.col("_pid") == F.col("_op")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{i}"))
+    out = r.join(offs if by else F.broadcast(offs), same)
+    return out.withColumns({o: F.col(f"_l_{o}") + F.col(f"_f_{o}") for o in values}).drop(
+        "_pid", "_op", *[f"_o_{i}" for i in range(len(by))], *[f"_{k}_{o}" for k in "lf" for o in values])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation between ranks): one column for
     each name in ``probs``, one row for each group of ``by`` that has a value.

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,27 @@ def apply_scale_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+_shipped: dict[str, bool] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their
+    Python workers import the driver's copy wherever they run."""
+    sc = spark.sparkContext
+    if _shipped.get(sc.applicationId):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tenurekit-py-"), "tenurekit_package.zip")  # read by the driver alone
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _shipped[sc.applicationId] = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
