@@ -4,15 +4,20 @@ S1 — ingest: a file stream over a landing directory with a checkpoint, so
 every landed file is processed exactly once across restarts; each
 micro-batch is written to its own ``_epoch=<id>`` folder of the history table
 (overwrite, so a replayed batch is idempotent), partitioned by entity bucket.
+Files are Parquet, or JSON Lines with a declared schema; JSON records that do
+not parse, or lack a required field, go to a quarantine table with their text,
+file and reason.
 
 S2 — panel refresh: in the same ``foreachBatch`` the longitudinal panel is
 recomputed for the entities the batch touched, over their *full* history
 (an earlier season arriving late moves the debut, so rows are recomputed,
 never patched).  The panel is stored partitioned by an entity bucket and
 only the touched buckets are overwritten (dynamic partition overwrite).
-When a batch raises the newest period, censoring changes for everybody,
-so every bucket is recomputed.  The stored result equals a batch run over
-the same rows.
+Censoring depends on the newest period of all, so it is not stored but derived
+on read from the newest last season of the panel: a new period rewrites the
+buckets it touches and no other, also after a restart.  The number of buckets
+is kept with the tables; a run with another one is an error.  What is read
+equals a batch run over the same rows.
 
 All paths live under the shared checkpoint folder (``spark.checkpoint.dir``),
 never on machine-local disk.
@@ -22,12 +27,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.panel import build_longitudinal
+from ..operators.panel import LONGITUDINAL_COLUMNS, build_longitudinal
 from ..session import ensure_checkpoint_dir
 
 
@@ -48,6 +54,35 @@ def _bucket(entity: str, n: int) -> Column:
     return F.pmod(F.xxhash64(F.col(entity)), F.lit(n)).cast("int")
 
 
+def _layout_file(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, "_layout")  # hidden from table readers
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def agree_on_buckets(spark: SparkSession, folder: str, n: int) -> None:
+    """Keep the number of buckets with a table; another number is an error."""
+    fs, path = _layout_file(spark, folder)
+    if fs.exists(path):
+        stream = fs.open(path)
+        known = int(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        if known != n:
+            raise ValueError(f"{folder} has {known} buckets, not {n}")
+        return
+    out = fs.create(path, False)
+    out.write(bytearray(str(n).encode()))
+    out.close()
+
+
+def _write_epoch(batch: DataFrame, target: str, bucket_by: tuple[str, int] | None) -> None:
+    """One folder per epoch, overwritten: a batch replayed after a failure
+    replaces its own output instead of appending it twice."""
+    if bucket_by is not None:
+        batch.withColumn("_bucket", _bucket(*bucket_by)).write.mode("overwrite").partitionBy("_bucket").parquet(target)
+    else:
+        batch.write.mode("overwrite").parquet(target)
+
+
 def run_ingest(spark: SparkSession, landing: str, schema: StructType, history: str,
                checkpoint: str, on_batch=None, max_files_per_trigger: int | None = None,
                bucket_by: tuple[str, int] | None = None) -> None:
@@ -55,58 +90,104 @@ def run_ingest(spark: SparkSession, landing: str, schema: StructType, history: s
     (partitioned by entity bucket when ``bucket_by=(entity, n)``, so later
     per-bucket reads prune partitions); optionally call
     ``on_batch(batch_df, epoch_id)`` after the append."""
+    if bucket_by is not None:
+        agree_on_buckets(spark, history, bucket_by[1])
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(landing)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # one folder per epoch, overwritten: a batch replayed after a failure
-        # replaces its own output instead of appending it twice
-        target = os.path.join(history, f"_epoch={epoch_id}")
-        if bucket_by is not None:
-            batch.withColumn("_bucket", _bucket(*bucket_by)).write.mode("overwrite") \
-                .partitionBy("_bucket").parquet(target)
-        else:
-            batch.write.mode("overwrite").parquet(target)
+        _write_epoch(batch, os.path.join(history, f"_epoch={epoch_id}"), bucket_by)
         if on_batch is not None:
             on_batch(batch, epoch_id)
 
-    q = (src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    q = (reader.parquet(landing).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def judge_records(rows: DataFrame, corrupt: str, required: Sequence[str]) -> DataFrame:
+    """Adds ``_reason``: null for a good record, else why it is quarantined."""
+    reason = F.when(F.col(corrupt).isNotNull(), F.lit("not readable under the schema"))
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), F.lit(f"no {c}"))
+    return rows.withColumn("_reason", reason)
+
+
+def run_ingest_jsonl(spark: SparkSession, landing: str, schema: StructType, history: str, quarantine: str, checkpoint: str,
+                     required: Sequence[str] = (), on_batch=None, max_files_per_trigger: int | None = None,
+                     bucket_by: tuple[str, int] | None = None) -> None:
+    """S1 over JSON Lines.  Every line is read as text and parsed under the
+    declared ``schema``: good records go to ``history``, lines that are no JSON
+    object, hold a value of another type or lack a ``required`` field go to
+    ``quarantine`` (``raw``, ``file``, ``reason``), both by epoch.  Blank lines
+    are no records."""
+    if bucket_by is not None:
+        agree_on_buckets(spark, history, bucket_by[1])
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.text(landing).select(F.col("value").alias("_raw"), F.col("_metadata.file_path").alias("_file"))
+    names = [f.name for f in schema.fields]
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        rows = parse_lines(batch, schema, required).persist()
+        try:
+            good = rows.where(F.col("_reason").isNull()).select(*[f"`{c}`" for c in names])
+            _write_epoch(good, os.path.join(history, f"_epoch={epoch_id}"), bucket_by)
+            bad = rows.where(F.col("_reason").isNotNull()).select(F.col("_raw").alias("raw"), F.col("_file").alias("file"), F.col("_reason").alias("reason"))
+            _write_epoch(bad, os.path.join(quarantine, f"_epoch={epoch_id}"), None)
+            if on_batch is not None:
+                on_batch(good, epoch_id)
+        finally:
+            rows.unpersist()
+
+    q = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def parse_lines(lines: DataFrame, schema: StructType, required: Sequence[str]) -> DataFrame:
+    """Lines (``_raw``, ...) with the fields of ``schema`` and ``_reason``."""
+    wide = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = F.from_json("_raw", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = lines.where(F.trim("_raw") != "").withColumn("_p", parsed)
+    rows = rows.select(*lines.columns, *[F.col(f"_p.`{f.name}`").alias(f.name) for f in wide.fields])
+    # a line that is JSON but no object parses to nothing at all
+    rows = rows.withColumn("_corrupt", F.coalesce("_corrupt", F.when(~F.ltrim("_raw").startswith("{"), F.col("_raw"))))
+    return judge_records(rows, "_corrupt", required).drop("_corrupt")
+
+
 def panel_refresher(spark: SparkSession, history: str, panel: str, rules: DataFrame, *,
                     entity: str, period: str, n_buckets: int = 64, **build_kw):
     """Returns the ``on_batch`` callback that refreshes the stored panel."""
-    state = {"max_period": None}
+    for folder in (history, panel):
+        agree_on_buckets(spark, folder, n_buckets)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # newest period so far: previous value vs this batch (no history rescan)
-        bmax = batch.agg(F.max(period)).first()[0]
-        prev = state["max_period"]
-        new_max = bmax if prev is None else (prev if bmax is None else max(prev, bmax))
-        full = prev is None or new_max != prev
+        touched = batch.select(_bucket(entity, n_buckets).alias("_bucket")).distinct()
         hist = spark.read.parquet(history)
         rows = hist if "_bucket" in hist.columns else hist.withColumn("_bucket", _bucket(entity, n_buckets))
-        if not full:
-            # semi-join on the partition column: dynamic partition pruning
-            # reads only the touched buckets of the history
-            touched = batch.select(_bucket(entity, n_buckets).alias("_bucket")).distinct()
-            rows = rows.join(F.broadcast(touched), "_bucket", "left_semi")
-        lon = build_longitudinal(rows.drop("_bucket", "_epoch"), rules, int(new_max), entity=entity, period=period,
-                                 **build_kw)
-        out = lon.withColumn("_bucket", _bucket("player", n_buckets))
+        # semi-join on the partition column (at most n_buckets rows): dynamic
+        # partition pruning reads only the touched buckets of the history
+        rows = rows.join(F.broadcast(touched), "_bucket", "left_semi")
+        lon = build_longitudinal(rows.drop("_bucket", "_epoch"), rules, F.lit(None).cast("int"), entity=entity, period=period, **build_kw)
+        out = lon.drop(*CENSORING).withColumn("_bucket", _bucket("player", n_buckets))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket").parquet(panel))
-        state["max_period"] = new_max
 
     return on_batch
 
 
+CENSORING = ("censored", "right_censored_no_tier1")
+
+
 def read_panel(spark: SparkSession, panel: str) -> DataFrame:
-    return spark.read.parquet(panel).drop("_bucket")
+    """The stored panel with its censoring, as of its newest period."""
+    df = spark.read.parquet(panel).drop("_bucket")
+    newest = df.agg(F.max("last_season")).scalar()
+    censored = ~F.col("ever_reached_tier1") & (F.col("last_season") >= newest - 1)
+    df = df.withColumns({"censored": censored, "right_censored_no_tier1": censored.cast("int")})
+    return df.select(*LONGITUDINAL_COLUMNS, *[c for c in df.columns if c not in LONGITUDINAL_COLUMNS])
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:

@@ -3,6 +3,8 @@ resumable batch append skips loaded keys (A10), refresh equals batch (S2)."""
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tenurekit.operators.panel import build_longitudinal
@@ -63,3 +65,62 @@ def test_resumable_append_skips_loaded_keys(spark):
     resumable_append(spark, again, done, ["season", "league"], target)
     got = sorted(map(tuple, spark.read.parquet(target).collect()))
     assert got == [(2019, "LCS", 2), (2019, "LEC", 1), (2020, "LEC", 3)]
+
+
+def _files(folder):
+    return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_second_run_rewrites_only_touched_buckets(spark):
+    base = I.scratch_dir(spark, "t-touch")
+    landing, history, panel, ckpt = (os.path.join(base, x) for x in ("landing", "history", "panel", "ckpt"))
+    first = [(f"p{i}", 2019, "Academy", "Spring", i) for i in range(60)]
+    newer = [("p3", 2023, "LEC", "Spring", 900)]  # a new newest period
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rules = rules_frame(spark, RULES)
+
+    def run():  # every run has a callback of its own, as after a restart
+        cb = I.panel_refresher(spark, history, panel, rules, entity="player", period="year", n_buckets=8, tiebreak="_line")
+        I.run_ingest(spark, landing, schema, history, ckpt, on_batch=cb, bucket_by=("player", 8))
+    spark.createDataFrame(first, SCHEMA).write.parquet(os.path.join(landing, "a"))
+    run()
+    before = _files(panel)
+    spark.createDataFrame(newer, SCHEMA).write.parquet(os.path.join(landing, "b"))
+    run()
+    after = _files(panel)
+    gone = {os.path.basename(os.path.dirname(f)) for f in before - after}
+    assert len(gone) == 1 and {os.path.basename(os.path.dirname(f)) for f in after - before} == gone and len(before & after) > 0
+    got = sorted(map(str, I.read_panel(spark, panel).collect()))
+    batch = build_longitudinal(spark.createDataFrame(first + newer, SCHEMA), rules, None, tiebreak="_line")
+    assert I.read_panel(spark, panel).columns == batch.columns
+    assert got == sorted(map(str, batch.collect()))
+    assert not any(r.censored for r in I.read_panel(spark, panel).collect())  # 2019 is long past now
+
+
+def test_other_number_of_buckets_is_an_error(spark):
+    base = I.scratch_dir(spark, "t-buckets")
+    history, panel = os.path.join(base, "h"), os.path.join(base, "p")
+    I.panel_refresher(spark, history, panel, rules_frame(spark, RULES), entity="player", period="year", n_buckets=4)
+    with pytest.raises(ValueError):
+        I.panel_refresher(spark, history, panel, rules_frame(spark, RULES), entity="player", period="year", n_buckets=8)
+    with pytest.raises(ValueError):
+        I.run_ingest(spark, base, spark.createDataFrame([], SCHEMA).schema, history, os.path.join(base, "c"), bucket_by=("player", 8))
+
+
+def test_jsonl_quarantine(spark):
+    base = I.scratch_dir(spark, "t-jsonl")
+    landing, history, bad, ckpt = (os.path.join(base, x) for x in ("landing", "history", "bad", "ckpt"))
+    lines = ['{"player": "a", "year": 2019}', '{"player": "b", "year": "x"}', '{"player": "c"', "[1, 2]", "null", "", "  ", '{"year": 2020}', '{"player": "d", "extra": 1}', '"text"']
+    schema = spark.createDataFrame([], "player string, year int").schema
+    spark.createDataFrame([(x,) for x in lines], "v string").write.text(os.path.join(landing, "a"))
+    run = lambda: I.run_ingest_jsonl(spark, landing, schema, history, bad, ckpt, required=("player",), bucket_by=("player", 2))
+    run()
+    run()  # nothing twice
+    assert sorted(map(tuple, I.read_history(spark, history).collect()), key=str) == [("a", 2019), ("d", None)]
+    q = spark.read.parquet(bad)
+    assert sorted((r.raw, r.reason) for r in q.collect()) == sorted(
+        [(x, "not readable under the schema") for x in ('{"player": "b", "year": "x"}', '{"player": "c"', "[1, 2]", "null", '"text"')] + [('{"year": 2020}', "no player")])
+    assert all("/landing/a/" in r.file for r in q.collect())
+    spark.createDataFrame([('{"player": "e", "year": 1}',)], "v string").write.text(os.path.join(landing, "b"))
+    run()
+    assert I.read_history(spark, history).count() == 3 and spark.read.parquet(bad).count() == 6
