@@ -62,7 +62,12 @@ def career_records(stats: DataFrame, *, entity: str = "player", season: str = "s
     # flags are projected before the aggregate (a subquery may not sit inside one)
     base = base.withColumns({"is_latest": F.col("season") == latest,
                              "is_prev": F.col("season") == latest - 1})
-    pos = F.struct("season", "row_no")
+    # first seen by (season, row): one fixed-width value where the row order is a
+    # number, so that the counts by value are hash aggregates
+    integral = dict(stats.dtypes).get(row_order) in ("tinyint", "smallint", "int", "bigint")
+    pos = (F.expr("coalesce(cast(season as decimal(12, 0)), cast(-2147483649 as decimal(12, 0))) * cast(100000000000000000000 as decimal(21, 0)) + coalesce(cast(row_no as decimal(20, 0)), cast(-9223372036854775809 as decimal(20, 0))) + 10000000000000000000")
+           .cast("decimal(38,0)") if integral else F.struct("season", "row_no"))
+    base = base.withColumn("pos", pos)
     nonblank = lambda c: F.when(F.col(c) != "", F.col(c))
     pairs = F.array(
         F.struct(F.lit("season").alias("attr"), F.col("season").cast("string").alias("v")),
@@ -74,14 +79,13 @@ def career_records(stats: DataFrame, *, entity: str = "player", season: str = "s
         F.struct(F.lit("region").alias("attr"),
                  F.when(F.col("league") != "", clean.league_region("league")).alias("v")),
     )
-    long = base.select("entity", "season", "row_no", "games", "wr", "kda",
-                       "is_latest", "is_prev", F.inline(pairs))
+    long = base.select("entity", "pos", "games", "wr", "kda", "is_latest", "is_prev", F.inline(pairs))
     # modal values ignore null/blank; the team list keeps '' (it is a real str)
     long = long.where(F.col("v").isNotNull())
     is_season = F.col("attr") == "season"
     lvl1 = long.groupBy("entity", "attr", "v").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(pos).alias("first_seen"),
+        F.min("pos").alias("first_seen"),
         F.sum(F.when(is_season, F.col("games"))).alias("games"),
         F.sum(F.when(is_season, F.col("wr"))).alias("wr_sum"),
         F.count(F.when(is_season, F.col("wr"))).alias("wr_n"),

@@ -69,16 +69,15 @@ def best_tier_record(app: DataFrame, entity="player", season="season", team="tea
     so ties go to the earliest encounter.  ``AllTeams``: distinct teams in
     encounter order joined with ' → '."""
     rank = clean.tier_rank(F.col(tier))
-    best = app.groupBy(entity, season).agg(
-        F.min_by(F.struct(F.col(team).alias("Team"), F.col(league).alias("League"),
-                          F.col(role).alias("Role"), F.col(tier).alias("Tier")),
-                 F.struct(rank, F.col(enc))).alias("b"))
-    teams = (app.groupBy(entity, season, team).agg(F.min(enc).alias("first_enc"))
-             .groupBy(entity, season)
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_enc", team))),
-                                           lambda x: x[team]), " → ").alias("AllTeams")))
-    return best.join(teams, [entity, season]).select(
-        entity, season, "b.Team", "b.League", "b.Role", "b.Tier", "AllTeams")
+    key = F.struct(rank.alias("rank"), F.col(enc).alias("enc"))
+    record = F.struct(F.col(team).alias("Team"), F.col(league).alias("League"), F.col(role).alias("Role"), F.col(tier).alias("Tier"))
+    # one chain: best record and first encounter per team, then over the teams
+    per_team = app.groupBy(entity, season, team).agg(
+        F.min(enc).alias("first_enc"), F.min(key).alias("key"), F.min_by(record, key).alias("r"))
+    return per_team.groupBy(entity, season).agg(
+        F.min_by("r", "key").alias("b"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_enc", team))), lambda x: x[team]), " → ").alias("AllTeams"),
+    ).select(entity, season, "b.Team", "b.League", "b.Role", "b.Tier", "AllTeams")
 
 
 def team_history_summary(app: DataFrame, entity="player", season="season", year="year",
@@ -87,17 +86,18 @@ def team_history_summary(app: DataFrame, entity="player", season="season", year=
     """per (entity, season, year) distinct teams joined ' → ' (in order
     of first date, or alphabetically with ``order='name'``), sorted distinct
     leagues joined ', ', first region and role (first non-null)."""
-    per_team = app.groupBy(entity, season, year, team).agg(F.min(date).alias("first_date"))
+    # one chain: everything per team first, then over the teams of the season
+    def first_known(c):
+        return [F.expr(f"min_by({c}, {date}) FILTER (WHERE {c} IS NOT NULL)").alias(f"_{c}"),
+                F.expr(f"min({date}) FILTER (WHERE {c} IS NOT NULL)").alias(f"_{c}_date")]
+    per_team = app.groupBy(entity, season, year, team).agg(
+        F.min(date).alias("first_date"), F.collect_set(league).alias("_leagues"), *first_known(region), *first_known(role))
     key = (F.struct("first_date", team) if order == "date" else F.struct(team))
-    teams = (per_team.groupBy(entity, season, year)
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(team).alias("t")))),
-                                           lambda x: x["t"]), " → ").alias("Teams")))
-    rest = app.groupBy(entity, season, year).agg(
-        F.array_join(F.array_sort(F.collect_set(F.col(league))), ", ").alias("Leagues"),
-        F.expr(f"min_by({region}, struct({date}, {team})) FILTER (WHERE {region} IS NOT NULL)").alias("Region"),
-        F.expr(f"min_by({role}, struct({date}, {team})) FILTER (WHERE {role} IS NOT NULL)").alias("Role"),
-    )
-    return teams.join(rest, [entity, season, year])
+    over = lambda c: F.expr(f"min_by(_{c}, struct(_{c}_date, {team})) FILTER (WHERE _{c} IS NOT NULL)")
+    return per_team.groupBy(entity, season, year).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(team).alias("t")))), lambda x: x["t"]), " → ").alias("Teams"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_leagues")))), ", ").alias("Leagues"),
+        over(region).alias("Region"), over(role).alias("Role"))
 
 
 def dedupe_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

@@ -52,10 +52,20 @@ def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_line_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier of each order's first line: lowest line number, then lowest
-    supplier, nulls last."""
+    supplier, nulls last.
+
+    Line and supplier are packed into one decimal, line * 10^20 + supplier +
+    10^19 (a null line counts as 2^33, a null supplier as 5 * 10^19), so that the
+    minimum is a hash aggregate over a fixed-width value; ``min_by`` over a
+    struct would sort all lines first."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
-    order = F.struct(F.col("l_linenumber").isNull(), F.col("l_linenumber"), F.col("l_suppkey").isNull(), F.col("l_suppkey"))
-    return li.groupBy("l_orderkey").agg(F.min_by("l_suppkey", order).alias("team"))
+    line = "coalesce(cast(l_linenumber as decimal(20, 0)) + 2147483648, cast(8589934592 as decimal(20, 0)))"
+    supplier = "coalesce(cast(l_suppkey as decimal(20, 0)) + 10000000000000000000, cast(50000000000000000000 as decimal(20, 0)))"
+    packed = F.expr(f"cast({line} * cast(100000000000000000000 as decimal(21, 0)) + {supplier} as decimal(38, 0))")
+    low = li.groupBy("l_orderkey").agg(F.min(packed).alias("_p"))
+    rest = F.expr("cast(_p % cast(100000000000000000000 as decimal(21, 0)) as decimal(38, 0))")
+    return low.withColumn("_s", rest).select(
+        "l_orderkey", F.expr("case when _s < 50000000000000000000 then cast(_s - 10000000000000000000 as bigint) end").alias("team"))
 
 
 def driver_panel(spark: SparkSession, sf_dir: str, need: tuple[str, ...] = ALL_PARTS) -> DataFrame:
