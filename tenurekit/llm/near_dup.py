@@ -101,12 +101,18 @@ def whole_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _signed(batches, words)
+    return run
+
+
+def _signed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, fp1, fp2, bands, sketch = [], [], [], [], []
         with np.errstate(over="ignore"):
             for _, _, b, offsets in tv.text_chunks(batch.column("text")):
-                for s in shingle_sets(b, offsets):
+                for s in shingle_sets(b, offsets, words):
                     sizes.append(len(s))
                     if not len(s):
                         fp1.append(0), fp2.append(0), bands.append(None), sketch.append(None)
@@ -125,20 +131,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_shingles", "fp1", "fp2", "bands", "sketch"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, b, offsets in tv.text_chunks(batch.column("text")):
-            sets = list(shingle_sets(b, offsets))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(lo, hi - lo), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                 pa.array([whole_sketch(s) for s in sets], pa.list_(pa.int64()))], ["id", "shingles", "whole"])
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, b, offsets in tv.text_chunks(batch.column("text")):
+                sets = list(shingle_sets(b, offsets, words))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(lo, hi - lo), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                     pa.array([whole_sketch(s) for s in sets], pa.list_(pa.int64()))], ["id", "shingles", "whole"])
+    return run
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, fingerprint, band keys and odd sketch of each row."""
     d = docs.select("doc_id", "text")
     kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch array<long>")
+    return d.mapInArrow(_sign(words), f"doc_id {kind}, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch array<long>")
 
 
 def _distance(a: str, b: str, longs: int = SKETCH_LONGS) -> Column:
@@ -191,9 +199,9 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("a", "b", (100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).alias("ok"))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    sig = stored(signatures(docs), "dup-signatures")
+def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; shingles of ``words`` words."""
+    sig = stored(signatures(docs, words), "dup-signatures")
     keyed = sig.filter("doc_id IS NOT NULL AND n_shingles > 0")
     equal = ["n_shingles", "fp1", "fp2"]
     classes = keyed.groupBy(*equal).agg(F.min("doc_id").alias("id"))
@@ -208,7 +216,7 @@ def components(docs: DataFrame) -> DataFrame:
     # the texts of the classes that have candidates, repeated rows once
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(busy, "id", "left_semi").dropDuplicates(["id", "text"])
     kind = busy.schema["id"].dataType.simpleString()
-    sets = stored(texts.mapInArrow(_sets, f"id {kind}, shingles array<long>, whole array<long>"), "dup-sets")
+    sets = stored(texts.mapInArrow(_sets(words), f"id {kind}, shingles array<long>, whole array<long>"), "dup-sets")
     sketches = stored(sets.select("id", "whole").join(heads.select("id", "n_shingles", "sketch"), "id"), "dup-sketches")
     labels = stored(busy.select("id", F.col("id").alias("comp")), "dup-labels")
     sa = sketches.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"), F.col("whole").alias("wa"))
@@ -259,19 +267,36 @@ def components(docs: DataFrame) -> DataFrame:
 
     comp = members.join(labels, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("comp"))
     # an id with several texts belongs to all their components: join those too
+    least = comp.groupBy("doc_id").agg(F.min("comp").alias("a"), F.max("comp").alias("most"))
+    several = comp.join(least.filter("a <> most").select("doc_id", "a"), "doc_id").filter("a <> comp").select("a", F.col("comp").alias("b")).distinct()
+    if several.limit(1).count():
+        several = stored(several, "dup-joined")
+        nodes = several.select(F.col("a").alias("id")).union(several.select("b")).distinct().select("id", F.col("id").alias("comp"))
+        joined = close_components(nodes, several).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+        comp = comp.join(joined, "comp", "left").select("doc_id", F.coalesce("to", "comp").alias("comp"))
     comp = comp.groupBy("doc_id").agg(F.min("comp").alias("comp"))
     out = sig.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id), same columns."""
-    c = components(docs)
+def drop_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
+    """One document of each component (the smallest id), same columns; five-word
+    shingles.  An id that is recorded with several texts keeps each of them
+    once, the row that is least by its other columns."""
+    c = components(docs, words)
     copies = c.filter("NOT kept").select("doc_id").distinct()
-    left = docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{x}`") for x in docs.columns])
-    # an id that is recorded more than once stays once
+    kept = [F.col(f"`{x}`") for x in docs.columns]
+    left = docs.join(copies, "doc_id", "left_anti").select(*kept)
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    once = left.join(again, "doc_id", "left_anti").select(*[F.col(f"`{x}`") for x in docs.columns])
-    more = left.join(again, "doc_id", "left_semi").select(*[F.col(f"`{x}`") for x in docs.columns]).dropDuplicates(["doc_id"])
+    once = left.join(again, "doc_id", "left_anti").select(*kept)
+    others = [x for x in docs.columns if x not in ("doc_id", "text")]
+    more = left.join(again, "doc_id", "left_semi")
+    if others:
+        first = F.min(F.struct(*[F.col(f"`{x}`").alias(f"c{i}") for i, x in enumerate(others)]))
+        more = more.groupBy("doc_id", "text").agg(first.alias("_r"))
+        place = {x: f"_r.c{i}" for i, x in enumerate(others)}
+        more = more.select(*[F.col(place.get(x, x)).alias(x) for x in docs.columns])
+    else:
+        more = more.dropDuplicates(["doc_id", "text"]).select(*kept)
     return once.unionByName(more)

@@ -30,7 +30,7 @@ _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 
 OP1_SQL = rf"""
 WITH d AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
@@ -42,7 +42,7 @@ rep AS (
 cover AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY r),
 f AS (
-  SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+  SELECT d.doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
          len(regexp_extract_all(t, '[!?]')) AS n_marks, len(regexp_extract_all(t, '[A-Z]')) AS n_caps,
@@ -57,7 +57,7 @@ g AS (
       CASE WHEN n_words > 0 AND n_symbols / n_words > 0.10 THEN 'symbols' END,
       CASE WHEN n_words > 0 AND n_marks / n_words > 0.25 THEN 'shouting' END,
       CASE WHEN word_chars > 0 AND n_caps / word_chars > 0.40 THEN 'capitals' END,
-      CASE WHEN n_words = 0 OR n_stop / n_words < 0.02 THEN 'few_stop_words' END,
+      CASE WHEN coalesce(lang IN ('en', 'de', 'fr', 'es'), TRUE) AND (n_words = 0 OR n_stop / n_words < 0.02) THEN 'few_stop_words' END,
       CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.50 THEN 'repeated_lines' END], lambda x: x IS NOT NULL) AS failed
   FROM f)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
@@ -251,12 +251,17 @@ t AS (
 r AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t),
 x AS (
-  SELECT d.*, source_size, target, floor(ratio) AS whole, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS rest
+  SELECT d.*, source_size, target, floor(ratio) AS whole, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS rest,
+         greatest(source_size // count(*) OVER (PARTITION BY d.source), 1) AS a
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+x2 AS (SELECT *, ((1000 * (a - size)) // (a + size)) AS sx FROM (SELECT * REPLACE (a::BIGINT AS a) FROM x)),
+x3 AS (SELECT *, CASE WHEN source_size > 0 THEN (sum(size * sx) OVER (PARTITION BY source))::DOUBLE / source_size::DOUBLE ELSE 0 END AS mx FROM x2),
+x4 AS (SELECT *, least(greatest(p + least(p, 1 - p) * (sx - mx) / 2000.0::DOUBLE, 1e-9::DOUBLE), (1 - 1e-9)::DOUBLE) AS pi FROM x3),
+x5 AS (SELECT *, (u / (1 - u)) / (pi / (1 - pi)) AS q FROM x4),
 y AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id, size
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q / (1 + q), doc_id, size
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2 AS mid
-  FROM x WHERE p > 0),
+  FROM x5 WHERE p > 0),
 z AS (
   SELECT doc_id, size, source_size, target, whole + (CASE WHEN mid <= rest THEN 1 ELSE 0 END) AS copies FROM y
   UNION ALL SELECT doc_id, size, source_size, target, whole FROM x WHERE p <= 0)
