@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group (five-word shingles) stays."""
     return near_dup.drop_near_duplicates(docs)
 
 
@@ -37,9 +37,9 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often the mix takes each document, with its text."""
+    """The documents that the mix takes, as often as it takes them."""
     sized = docs.select("doc_id", "text", "source", mixing.word_count(docs["text"]).alias("size"))
-    return mixing.take(sized)
+    return mixing.repeated(mixing.take(sized))
 
 
 STAGES = [
@@ -62,9 +62,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs = stored(docs, f"pipeline-{name}")
     return docs
-
-
-def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What ``run`` decided, carried out: documents the mix does not take are
-    gone, the others stand as often as it takes them (numbered by ``copy``)."""
-    return mixing.repeated(run(spark, sf_dir))
