@@ -6,7 +6,11 @@ pieces: by the pigeonhole principle a match with at most k edits holds at
 least one piece unchanged, so exact searches for the pieces find every
 candidate place.  The ``regex`` library's bounded-error matching then verifies
 the small window around a candidate and reports its span and edits.
-Overlapping findings keep the one with the fewest edits, then the longest.
+Words that tell licenses apart are protected: version numbers and the names in
+``NAMES`` must stand in the match as they stand in the notice, none changed, left
+out or added, and no further part of a version may follow; edits are allowed
+outside them only.  Overlapping findings keep the one with the fewest edits, then
+the longest.
 
 Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z are lower-cased.  Base
 phrases are searched word by word in every place.
@@ -60,6 +64,17 @@ NOTICES = (
 )
 
 
+#: words that name a license or a variant of one (parameter)
+NAMES = frozenset(
+    "mit apache gnu gpl lgpl agpl mpl mozilla bsd isc cc cc0 by sa nd nc lesser library affero attribution sharealike noncommercial "
+    "noderivatives noderivs unlicense unencumbered proprietary eclipse epl artistic boost zlib wtfpl".split())
+
+
+def protected(words: list[str], names=NAMES) -> list[str]:
+    """The words that may not differ, in order."""
+    return [w for w in words if w in names or any(c.isdigit() for c in w)]
+
+
 def edits_allowed(notice: str) -> int:
     """Edits that a notice may differ by: none when it is short."""
     return 0 if len(notice) < 20 else 1 if len(notice) < 28 else 2 if len(notice) < 45 else 3
@@ -72,14 +87,31 @@ def pieces(notice: str, k: int) -> list[tuple[int, str]]:
 
 
 class Notices:
-    def __init__(self, notices=NOTICES):
+    def __init__(self, notices=NOTICES, names=NAMES):
         self.notices = [(label, text, edits_allowed(text)) for label, text in notices]
+        self.names = names
+        self.protected = [protected(text.split(" "), names) for _, text in notices]
         self.seeds: dict[bytes, list[tuple[int, int]]] = {}
         for i, (_, text, k) in enumerate(self.notices):
             for offset, piece in pieces(text, k):
                 self.seeds.setdefault(piece.encode(), []).append((i, offset))
         self.patterns = [regex.compile(b"(?e)(?:%s){e<=%d}" % (regex.escape(t.encode()), k)) for _, t, k in self.notices]
 
+    def agrees(self, text: bytes, start: int, end: int, i: int) -> bool:
+        """Whether the protected words of a match are those of notice ``i``."""
+        while start < end and text[start:start + 1] == b" ":
+            start += 1
+        while end > start and text[end - 1:end] == b" ":
+            end -= 1
+        start = text.rfind(b" ", 0, start) + 1  # whole words
+        end = text.find(b" ", end) if text.find(b" ", end) >= 0 else len(text)
+        if protected(text[start:end].decode("utf-8", "replace").split(" "), self.names) != self.protected[i]:
+            return False
+        if not self.notices[i][1][-1].isdigit():
+            return True
+        after = text[end + 1:end + 9].decode("utf-8", "replace").split(" ")[0]
+        return not after.isdigit() or after == "0" or len(after) > 2  # "2 1" is not "2"
+
     def find(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(start, end, notice, edits) of the notices in normalised text that
         remain when overlaps are settled."""
@@ -95,7 +127,7 @@ class Notices:
         found = []
         for (i, _), (lo, hi) in windows.items():
             m = self.patterns[i].search(text, lo, hi)
-            if m:
+            if m and self.agrees(text, m.start(), m.end(), i):
                 found.append((sum(m.fuzzy_counts), -(m.end() - m.start()), m.start(), i, m.end()))
         taken: list[tuple[int, int, int, int]] = []
         for edits, _, start, i, end in sorted(set(found)):
