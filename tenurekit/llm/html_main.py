@@ -38,8 +38,12 @@ LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOP_LOW, STOP_HIGH = 0.12, 0.25
 LINKS_MAX = 0.33
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# A quote opens a value only after an equals sign; elsewhere it is a character
+# like any other.  A tag always ends, at the latest with the page, so no part of
+# a page is read again.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
+_PLACE = {"class", "id", "role", "hidden", "style"}
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 
@@ -71,6 +75,8 @@ def _is_boiler(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
+        if name not in _PLACE:
+            continue
         if name == "id" and (tag in HEADINGS or in_article and (tag == "p" or tag in INLINE)):
             continue
         words = BOILER_WORDS - TOPIC_WORDS if in_article and tag in TEXT_TAGS else BOILER_WORDS
