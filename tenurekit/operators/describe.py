@@ -291,6 +291,22 @@ def table_profile(df: DataFrame) -> DataFrame:
                        F.lit(len(cols)).alias("n_columns"))
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """the first ``n`` rows of a table in an explicit order, each as one
+    JSON text with its place (a bounded top-n, no global sort)."""
+    top = df.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.orderBy(*order))  # over the n rows
+    return top.select(place.alias("row"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def veterans_listing(careers: DataFrame, length: str = "num_seasons_active", min_len: int = 7) -> DataFrame:
+    """The listing itself: entity, league, seasons, debut and last season,
+    longest first, then earliest debut, then name."""
+    return careers.where(F.col(length) >= min_len).select(
+        "player_id", "primary_league", F.col(length).alias("seasons"), F.col("career_start_year").alias("debut"),
+        F.col("career_end_year").alias("last_season")).orderBy(F.desc("seasons"), "debut", "player_id")
+
+
 def gated_group_stats(df: DataFrame, group: str, value: str, unknown: str = "Unknown",
                       min_n: int = 50) -> DataFrame:
     """D3: stats over known groups only, produced only when at least

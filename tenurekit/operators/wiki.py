@@ -148,3 +148,13 @@ def name_probe(names: DataFrame, probes: Iterable[str] | DataFrame, name_col: st
     missing = status.where(~F.col("found"))
     return (status.where(F.col("found")).withColumn("suggestion", F.lit(None).cast("string"))
             .unionByName(missing.join(sugg, "probe", "left")))
+
+
+def players_only(players: DataFrame) -> DataFrame:
+    """The players table by itself, by id."""
+    return players.orderBy("ID")
+
+
+def redirects_only(redirects: DataFrame) -> DataFrame:
+    """Alternate names by themselves, with or without a player, by id and name."""
+    return redirects.select("AllName", "ID").orderBy("ID", "AllName")

@@ -29,4 +29,4 @@ def register(name: str, sql: str | None = None, covers: tuple[str, ...] = ()):
 def load_all() -> None:
     """Import every module that registers queries."""
     from . import q_panel, q_cohort, q_clean, q_careers, q_movement, q_describe  # noqa: F401
-    from . import q_wiki, q_ranktests, q_models, q_streaming, q_io, q_extras, q_reports, q_landing, q_tenures  # noqa: F401
+    from . import q_wiki, q_ranktests, q_models, q_streaming, q_io, q_extras, q_reports, q_landing, q_tenures, q_listings, q_fits  # noqa: F401
