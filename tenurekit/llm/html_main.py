@@ -9,9 +9,11 @@ second pass the label of the nearest decided neighbours; between a good and a
 bad one they follow the good.  Long blocks with few stop words (a language the
 list does not hold) are ambiguous too, and menus and the like beside them do
 not count against them.  A page without a good block has its long ambiguous
-ones as text, or else its short ones.  Blocks inside an article element are
-its text, unless they stand in a boilerplate place there; blocks beside it
-follow it only as headings or between two.  An id on a heading never marks a
+ones as text, or else its short ones.  Inside an article element the first
+pass decides with the element as evidence (fewer stop words make a block good,
+and no share of links makes it bad), and ambiguous blocks inherit from the
+decided ones of the articles; blocks beside it follow it only as headings or
+between two.  An id on a heading never marks a
 place, nor inside an article one on a paragraph or a word that may name a topic.
 
 Text is decoded from character references; white space inside a block becomes
@@ -189,6 +191,20 @@ def _sides(decided: list[bool]) -> list[list[int]]:
     return [[k for k in pair if 0 <= k < n] for pair in zip(before, after)]
 
 
+def inside_articles(blocks: list[Block], labels: list[str]) -> list[str]:
+    """Labels with those of article blocks settled.  The article element is
+    evidence that what stands in it is text: ambiguous blocks follow the nearest
+    decided blocks of the articles, which links and places beside them do not
+    make bad; where the first pass decided none, the ambiguous ones are the text."""
+    inside = [i for i, b in enumerate(blocks) if b.article and not b.boiler]
+    decided = [labels[i] in ("good", "bad") for i in inside]
+    out = list(labels)
+    for i, near, known in zip(inside, _sides(decided), decided):
+        if not known:
+            out[i] = "good" if not any(decided) or any(labels[inside[k]] == "good" for k in near) else "bad"
+    return out
+
+
 def second_pass(blocks: list[Block]) -> None:
     """Give ambiguous blocks the label of their nearest decided neighbours."""
     labels = [first_pass(b) for b in blocks]
@@ -199,7 +215,7 @@ def second_pass(blocks: list[Block]) -> None:
     for kinds in (("near", "unknown"), ("short",)):  # nothing for the others to follow
         if no_article and "good" not in labels:
             labels = ["good" if x in kinds else x for x in labels]
-    labels = ["good" if b.article and not b.boiler else x for b, x in zip(blocks, labels)]
+    labels = inside_articles(blocks, labels)
 
     def drawn(near: list[int]) -> bool:
         """By good neighbours; an article draws in what stands beside it from both sides only."""

@@ -75,3 +75,23 @@ def test_hostile_pages_take_linear_time(hostile):
     begin = time.perf_counter()
     html_main.main_text(hostile)
     assert time.perf_counter() - begin < 5
+
+
+PROSE = "It is the first of the lines and it goes on for the sake of the test and of the reader, who is not in a hurry and has the time to read all of it. " * 2
+
+
+def test_the_passes_decide(monkeypatch):
+    links = "".join(f"<a href=/{i}>Keyword{i} Brand{i} Offer{i}</a> " for i in range(30))
+    page = f"<div><div>{PROSE}</div><p>Short one.</p><div>{PROSE}</div><div>{links}</div></div>"
+    want = f"{PROSE.strip()}\nShort one.\n{PROSE.strip()}"
+    assert html_main.main_text(page) == want  # link density drops the last block, the short one inherits
+    article = f"<article><h1>Title</h1><p>{PROSE}</p><p>Short.</p></article>"
+    assert html_main.main_text(article) == f"Title\n{PROSE.strip()}\nShort."
+    with monkeypatch.context() as m:
+        m.setattr(html_main, "LINKS_MAX", 1.0)
+        assert html_main.main_text(page) != want
+    with monkeypatch.context() as m:
+        m.setattr(html_main, "_STOP", frozenset())
+        assert html_main.main_text(page.replace(links, "Nothing of worth " * 20)) != html_main.main_text(page)
+    monkeypatch.setattr(html_main, "first_pass", lambda b: "bad")
+    assert html_main.main_text(page) == "" and html_main.main_text(article) == ""
