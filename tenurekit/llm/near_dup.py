@@ -18,7 +18,9 @@ population count estimates high similarities precisely.
    never passes the true symmetric difference, so pairs above what the
    similarity allows are certainly no links.  Thus near misses within a family
    of copies do not leave the join that meets them, but for sets too long for
-   the sketch; a hot bucket of those is quadratic in its key's task (open).
+   the sketch.  A large bucket of those is compared in blocks of sizes and salts,
+   so its work, still quadratic in the near misses that share a band, is spread
+   over as many tasks as it has pairs of blocks.
 3. Every candidate link is confirmed on the full sets: 100 * |A and B| >=
    80 * |A or B|.  Components are closed by hooking and pointer jumping over
    tables, nothing is collected.
@@ -52,6 +54,8 @@ SKETCH_LONGS = 8
 PERCENT = 80
 WHOLE_LONGS = 32
 STAR_ROUNDS = 2
+#: members of a bucket that are compared in one task, at most
+BLOCK = 1024
 #: sketches further apart than this come from similarities below about 0.6
 _N_BITS, _N_SAMPLES = 64 * SKETCH_LONGS, BANDS * ROWS
 MAX_XOR = int(_N_BITS / 2 * (1 - (1 - 2 / _N_BITS) ** (2 * _N_SAMPLES * (1 - 0.6))))
@@ -199,6 +203,29 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("a", "b", (100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).alias("ok"))
 
 
+def _blocks(rest: DataFrame) -> DataFrame:
+    """Pairs across components in a common bucket that sizes and sketches allow.
+
+    A bucket of more than ``BLOCK`` members is split: by size, as only sizes of a
+    ratio up to 100 / ``PERCENT`` can link (a class meets itself and its
+    neighbours), and into blocks of members by a salt of their ids, each pair of
+    blocks being a key of its own.  So no task holds more than a block by a block
+    of a bucket, however large it is, and every pair meets once."""
+    sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).select("key", F.ceil(F.col("_m") / BLOCK).cast("int").alias("_g"))
+    hot = F.col("_g") > 1
+    size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(100 / PERCENT + 0.01)))
+    rest = rest.join(sizes, "key").withColumns({
+        "_s": F.pmod(F.xxhash64("id"), F.col("_g")).cast("int"), "_c": F.when(hot, size_class).otherwise(F.lit(0)).cast("int"),
+        "_o": F.explode(F.sequence(F.lit(0), F.col("_g") - 1))})
+    classes = F.when(hot, F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1)).otherwise(F.array(F.col("_c")))
+
+    def side(i: str) -> list[Column]:
+        return [F.col("id").alias(i), F.col("comp").alias(f"c{i}"), F.col("n_shingles").alias(f"n{i}"), F.col("sketch").alias(f"k{i}"), F.col("whole").alias(f"w{i}")]
+    x = rest.select("key", F.col("_c").alias("class"), F.col("_s").alias("p"), F.col("_o").alias("q"), *side("a"))
+    y = rest.select("key", F.explode(classes).alias("class"), F.col("_o").alias("p"), F.col("_s").alias("q"), *side("b"))
+    return x.join(y, ["key", "class", "p", "q"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _may_link())
+
+
 def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept; shingles of ``words`` words."""
     sig = stored(signatures(docs, words), "dup-signatures")
@@ -250,9 +277,7 @@ def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     now = buckets.join(labels, "id")
     open_ = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
     rest = stored(now.join(open_, "key").join(sketches, "id"), "dup-rest")
-    x, y = (rest.select("key", F.col("id").alias(i), F.col("comp").alias(f"c{i}"), F.col("n_shingles").alias(f"n{i}"),
-                        F.col("sketch").alias(f"k{i}"), F.col("whole").alias(f"w{i}")) for i in "ab")
-    across = x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _may_link())
+    across = _blocks(rest)
     across = across.select("a", "b", _distance("wa", "wb", WHOLE_LONGS).alias("d")).distinct()
     across = stored(across.join(failed, ["a", "b"], "left_anti"), "dup-across")
 

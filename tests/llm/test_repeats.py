@@ -108,3 +108,21 @@ def test_measures_are_not_pushed_into_the_filter(spark):
     plan = quality_rules.apply_rules(df.drop("_q_kept"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate") == 1 and all("regexp" not in line and "xxhash64" not in line for line in plan.splitlines() if line.strip(" :+-").startswith("Filter"))
     assert F is not None
+
+
+@pytest.mark.parametrize("block", [2, 7])
+def test_large_buckets_in_blocks_lose_no_pair(spark, monkeypatch, block):
+    """Near misses and links of one template, compared in blocks of a few members."""
+    import random
+
+    from .test_brute_force import brute_components, near_texts
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rnd, base = random.Random(9), [f"t{i}" for i in range(90)]
+    rows = near_texts(5)
+    for i in range(60):  # a template with 1 to 12 words changed: some pairs link, most nearly do
+        words = list(base[: rnd.choice([70, 80, 90])])
+        for _ in range(rnd.randint(1, 12)):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(10**6)}"
+        rows.append((5000 + i, " ".join(words)))
+    got = near_dup.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute_components(rows)
