@@ -21,8 +21,8 @@ its start (or where the last match ended), so no text takes quadratic time.
 
 Defined results: null counts as the empty text and has no spans; without
 candidates the classifier keeps its prior weights; repeated rows get equal
-results; ``redact`` keeps all columns, leaves null texts null, merges
-overlapping spans and names the first one's kind.
+results; ``redact`` keeps all columns, whatever their names, leaves null texts
+null, merges overlapping spans and names the first one's kind.
 """
 
 from __future__ import annotations
@@ -368,7 +368,9 @@ def find_personal_data(docs: DataFrame, weights: list[float] | None = None) -> D
 def redact(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets, same columns;
     ``n_chars`` follows the new text where the column exists and is not null."""
-    d = with_spans(docs, weights if weights is not None else train(docs))
+    # other columns wait under plain names, whatever theirs are
+    place = {c: c if c in ("text", "n_chars") else f"c{i}" for i, c in enumerate(docs.columns)}
+    d = with_spans(docs.select(*[F.col(f"`{c}`").alias(place[c]) for c in docs.columns]), weights if weights is not None else train(docs))
     every = F.array_sort(_each(KINDS, lambda kind, x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"[{kind.upper()}]").alias("k"))))
 
     def merged(spans: Column) -> Column:  # sorted spans; those that overlap become one
@@ -383,7 +385,7 @@ def redact(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
 
     text = F.when(F.size("_pii_all") > 0, merged(F.col("_pii_all"))).otherwise(F.col("text"))
     d = d.withColumn("_pii_all", every).withColumn("_pii_text", text)
-    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("_pii_text").alias("text")}
+    out = {c: F.col(place[c]).alias(c) for c in docs.columns} | {"text": F.col("_pii_text").alias("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out["n_chars"] = F.when(F.col("n_chars").isNotNull() & (F.size("_pii_all") > 0), F.length("_pii_text")).otherwise(F.col("n_chars")).cast(kind).alias("n_chars")

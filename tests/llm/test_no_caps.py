@@ -62,3 +62,13 @@ def test_repeated_training_ids_count_once_and_alike(spark):
     a = quality_fm.train(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), labels, 40)
     b = quality_fm.train(spark.createDataFrame(docs[::-1], "doc_id long, text string").repartition(2), labels, 40)
     assert (a.w == b.w).all() and (a.v == b.v).all()
+
+
+def test_redact_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "Mail anna@mail.example.com now", 30, "x", 5, [1]), (2, None, None, "y", 6, None)],
+                               "doc_id long, text string, n_chars int, _pii_secret string, _pii_all int, `c 1` array<int>")
+    got = pii_weak.redact(df)
+    assert got.columns == df.columns
+    rows = {r.doc_id: r for r in got.collect()}
+    assert rows[1].text == "Mail [EMAIL] now" and rows[1].n_chars == 16 and (rows[1]._pii_secret, rows[1]._pii_all, rows[1]["c 1"]) == ("x", 5, [1])
+    assert rows[2].text is None and (rows[2]._pii_secret, rows[2]._pii_all) == ("y", 6)
