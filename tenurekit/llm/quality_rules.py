@@ -4,6 +4,10 @@ r"""Rule-based quality filter: one threshold table, one Spark projection.
 single native projection: measures of length, symbols, stop words and lines,
 then one comparison per rule.  No user function runs.
 
+The stop-word rule knows the languages of ``STOP_LANGUAGES``: where a row's
+``lang`` names another one it does not apply.  Without such a column, or with a
+null in it, it does.
+
 Words are ``[^\x20\x09-\x0D]+``.  Repeats are words inside 8-word windows that
 occur twice or more; windows are compared by 64-bit hashes within one text.
 
@@ -50,6 +54,11 @@ RULES = [
 ]
 
 
+#: languages of the stop words; the rule that counts them judges no other
+STOP_LANGUAGES = ("en", "de", "fr", "es")
+STOP_RULE = "few_stop_words"
+
+
 def split_words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
@@ -141,14 +150,17 @@ def judge(docs: DataFrame, rules=RULES, stop_words=STOP_WORDS) -> DataFrame:
     """``docs`` with the ``_q_*`` counts, ``_q_base_failed``, ``_q_failed``
     (names of the rules that reject) and ``_q_kept``."""
     base = (F.col("_q_words") < 20) | (100 * F.col("_q_repeats") > 30 * F.col("_q_words"))
-    names = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in compile_rules(rules).items()]))
+    compiled = compile_rules(rules)
+    if STOP_RULE in compiled and "lang" in docs.columns:
+        compiled[STOP_RULE] = compiled[STOP_RULE] & F.coalesce(F.col("lang").isin(*STOP_LANGUAGES), F.lit(True))
+    names = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in compiled.items()]))
     return (measure(docs, stop_words).withColumn("_q_base_failed", base).withColumn("_q_failed", names)
             .withColumn("_q_kept", ~F.col("_q_base_failed") & (F.size("_q_failed") == 0)))
 
 
 def quality_report(docs: DataFrame, rules=RULES) -> DataFrame:
     """Per document: the base counts, base_failed, failed_rules and kept."""
-    return judge(docs.select("doc_id", "text"), rules).select(
+    return judge(docs.select("doc_id", "text", *[c for c in docs.columns if c == "lang"]), rules).select(
         "doc_id", F.col("_q_words").alias("n_words"), F.col("_q_word_chars").alias("word_chars"),
         F.col("_q_symbols").alias("n_symbols"), (F.col("_q_lines.n") - F.col("_q_lines.d")).alias("n_dup_lines"),
         F.col("_q_repeats").alias("n_repeat_words"), F.col("_q_base_failed").alias("base_failed"),
@@ -156,5 +168,10 @@ def quality_report(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def apply_rules(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The documents that no rule rejects, same columns."""
-    return judge(docs, rules).filter("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that no rule rejects, same columns.
+
+    The verdict passes a generator of one row, below which a filter on it is not
+    pushed: the measures are evaluated once, not again inside the filter."""
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    verdict = F.inline(F.array(F.struct(F.col("_q_kept").alias("_q_verdict"))))
+    return judge(docs, rules).select(*kept, verdict).filter("_q_verdict").select(*kept)
