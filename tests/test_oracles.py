@@ -1,6 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest tables
 (the driver runs the same comparison at sf0.01); queries without an oracle
-must run and keep a stable schema."""
+must return rows under distinct column names."""
 
 import os
 
@@ -28,7 +28,7 @@ def test_query(spark, con, name):
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
-        assert len(cols) == len(set(cols))
+        assert rows and len(cols) == len(set(cols))
         return
     cur = con.execute(ORACLES[name])
     dcols = [d[0] for d in cur.description]

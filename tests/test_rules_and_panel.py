@@ -43,7 +43,7 @@ def test_rule_table_tier_parsing(spark):
     assert rows == {"A": ("contains", 2), "B": ("exact", 1)}
 
 
-SPLIT_RANK = {None: 100, "Spring": 10, "Summer Playoffs": 20, "Play-In": 5, "Winter": 8, "Qualifier": 3}
+SPLIT_RANK = {None: 100, "Spring": 10, "Summer": 20, "Summer Playoffs": 20, "Playoffs": 40, "Play-In": 5, "Winter": 8, "Qualifier": 3}
 
 
 def brute_longitudinal(rows, tier_of, current):
