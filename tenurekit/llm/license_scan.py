@@ -6,11 +6,11 @@ pieces: by the pigeonhole principle a match with at most k edits holds at
 least one piece unchanged, so exact searches for the pieces find every
 candidate place.  The ``regex`` library's bounded-error matching then verifies
 the small window around a candidate and reports its span and edits.
-Words that tell licenses apart are protected: version numbers and the names in
-``NAMES`` must stand in the match as they stand in the notice, none changed, left
-out or added, and no further part of a version may follow; edits are allowed
-outside them only.  Overlapping findings keep the one with the fewest edits, then
-the longest.
+Words that tell licenses apart are protected: a version number or a name of
+``NAMES`` that stands whole in a match must stand in the notice too, in the same
+order, and no further part of a version may follow.  So another version or
+license never matches, while a damaged word (``mt`` for ``mit``) counts as edits.
+Overlapping findings keep the one with the fewest edits, then the longest.
 
 Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z are lower-cased.  Base
 phrases are searched word by word in every place.
@@ -70,9 +70,18 @@ NAMES = frozenset(
     "noderivatives noderivs unlicense unencumbered proprietary eclipse epl artistic boost zlib wtfpl".split())
 
 
+#: of these, parts that name something only in a row after ``cc``
+PARTS = frozenset("by sa nd nc".split())
+
+
 def protected(words: list[str], names=NAMES) -> list[str]:
-    """The words that may not differ, in order."""
-    return [w for w in words if w in names or any(c.isdigit() for c in w)]
+    """The whole names and numbers among the words, in order."""
+    out, chain = [], False
+    for w in words:
+        chain = w == "cc" or chain and w in PARTS
+        if w.isdigit() or w in names and (chain or w not in PARTS):
+            out.append(w)
+    return out
 
 
 def edits_allowed(notice: str) -> int:
@@ -98,15 +107,21 @@ class Notices:
         self.patterns = [regex.compile(b"(?e)(?:%s){e<=%d}" % (regex.escape(t.encode()), k)) for _, t, k in self.notices]
 
     def agrees(self, text: bytes, start: int, end: int, i: int) -> bool:
-        """Whether the protected words of a match are those of notice ``i``."""
+        """Whether the whole protected words of a match are those of notice ``i``, in order."""
         while start < end and text[start:start + 1] == b" ":
             start += 1
         while end > start and text[end - 1:end] == b" ":
             end -= 1
         start = text.rfind(b" ", 0, start) + 1  # whole words
         end = text.find(b" ", end) if text.find(b" ", end) >= 0 else len(text)
-        if protected(text[start:end].decode("utf-8", "replace").split(" "), self.names) != self.protected[i]:
-            return False
+        want, at = self.protected[i], 0
+        for w in protected(text[start:end].decode("utf-8", "replace").split(" "), self.names):
+            # a number may be several of the notice's that lost the space between them
+            found = next((z for k in range(at, len(want)) for z in range(k + 1, len(want) + 1)
+                          if "".join(want[k:z]) == w and (z == k + 1 or w.isdigit())), None)
+            if found is None:
+                return False
+            at = found
         if not self.notices[i][1][-1].isdigit():
             return True
         after = text[end + 1:end + 9].decode("utf-8", "replace").split(" ")[0]
