@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import cohort, models as M, score as S
 from ..operators.careers import career_metrics
+from ..session import cut_lineage
 from .q_careers import MODEL_LEAGUES, MODEL_ROLES, MODEL_SQL, model_frame, records
 from .q_describe import r6, sql_r6
 from .registry import register
@@ -26,7 +27,9 @@ RF_FEATURES = ["Debut", "Early_Era", *NUMERIC, *LEAGUE_COLS, *ROLE_COLS]
 
 
 def encoded(spark, sf_dir):
-    mf = model_frame(spark, sf_dir).withColumn("Debut", (F.col("Debut") - 1989).cast("int"))
+    """The model frame with its features; a row per entity, stored once, as the
+    medians, the split and the fits all read it."""
+    mf = cut_lineage(model_frame(spark, sf_dir)).withColumn("Debut", (F.col("Debut") - 1989).cast("int"))
     mf = mf.withColumn("Early_Era", clean.early_era("Debut"))
     mf = M.impute_medians(mf, NUMERIC)
     mf = M.one_hot(mf, "League", MODEL_LEAGUES, REF_LEAGUE, "League_")
@@ -84,7 +87,7 @@ def q_split(spark, sf_dir):
 
 @register("model_rf_report", None, ("I6", "I7", "G6"))
 def q_rf(spark, sf_dir):
-    d = M.assemble(split_frame(spark, sf_dir), RF_FEATURES)
+    d = M.assemble(cut_lineage(split_frame(spark, sf_dir)), RF_FEATURES)
     train = d.where(F.col("split") == "train")
     model = M.fit_random_forest(train, RF_FEATURES, "Career_Seasons")
     pred = model.transform(d)
@@ -113,8 +116,8 @@ def stability(spark, sf_dir):
 
 @register("model_logit", None, ("I2",))
 def q_logit(spark, sf_dir):
-    st = stability(spark, sf_dir)
     feats = ["team_changes_proxy", "starting_tier", "career_start_year"]
+    st = cut_lineage(stability(spark, sf_dir).select("survived_5y", "early_exit_2y", *feats))
     a = M.fit_logit(st, "survived_5y", feats).withColumn("target", F.lit("survived_5y"))
     b = M.fit_logit(st, "early_exit_2y", feats).withColumn("target", F.lit("early_exit_2y"))
     return a.unionByName(b)
@@ -126,8 +129,8 @@ def q_ols(spark, sf_dir):
     return M.fit_ols(st, "survived_5y", ["team_changes_proxy", "starting_tier", "career_start_year"])
 
 
-def cox(spark, sf_dir):
-    tr = split_frame(spark, sf_dir).where(F.col("split") == "train")
+def cox(spark, sf_dir, split=None):
+    tr = (split_frame(spark, sf_dir) if split is None else split).where(F.col("split") == "train")
     return M.fit_cox(tr, "Career_Seasons", "Observed", COX_FEATURES, penalizer=0.1)
 
 
@@ -150,32 +153,33 @@ def q_cindex(spark, sf_dir):
 
 @register("model_cox_cindex", None, ("I8", "I9"))
 def q_cox_cindex(spark, sf_dir):
-    coefs, _, info = cox(spark, sf_dir)
-    d = M.partial_hazard(split_frame(spark, sf_dir), coefs, info["means"])
+    split = cut_lineage(split_frame(spark, sf_dir))
+    coefs, _, info = cox(spark, sf_dir, split)
+    d = M.partial_hazard(split, coefs, info["means"])
     d = d.withColumn("score", -F.col("risk"))
     tr = M.concordance(d.where(F.col("split") == "train"), "Career_Seasons", "Observed", "score")
     te = M.concordance(d.where(F.col("split") == "test"), "Career_Seasons", "Observed", "score")
     return tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
 
 
-def profiles(spark, sf_dir):
+def profiles(split):
     """Every observed (league, role, debut) profile of the model frame."""
-    e = split_frame(spark, sf_dir)
-    return e.select("League", "Role", "Debut", *COX_FEATURES).distinct().withColumn(
+    return split.select("League", "Role", "Debut", *COX_FEATURES).distinct().withColumn(
         "profile", F.concat_ws("|", "League", "Role", F.col("Debut").cast("string")))
 
 
 @register("model_survival_profiles", None, ("I11", "I12"))
 def q_survival(spark, sf_dir):
-    coefs, baseline, info = cox(spark, sf_dir)
-    pr = M.partial_hazard(profiles(spark, sf_dir), coefs, info["means"])
+    split = cut_lineage(split_frame(spark, sf_dir))
+    coefs, baseline, info = cox(spark, sf_dir, split)
+    pr = M.partial_hazard(profiles(split), coefs, info["means"])
     surv = M.survival_at(pr.select("profile", "risk"), baseline)
     med = M.median_survival(surv, "profile")
     return surv.select("profile", "t", F.round("surv", 4).alias("surv")).join(med, "profile")
 
 
-def negbin(spark, sf_dir):
-    tr = split_frame(spark, sf_dir).where(F.col("split") == "train")
+def negbin(spark, sf_dir, split=None):
+    tr = (split_frame(spark, sf_dir) if split is None else split).where(F.col("split") == "train")
     return M.fit_negbin(tr, "Career_Seasons", COX_FEATURES)
 
 
@@ -186,25 +190,26 @@ def q_negbin(spark, sf_dir):
 
 @register("model_negbin_predict", None, ("I13",))
 def q_nb_predict(spark, sf_dir):
-    return M.predict_linear_exp(profiles(spark, sf_dir), negbin(spark, sf_dir), COX_FEATURES).select(
+    split = cut_lineage(split_frame(spark, sf_dir))
+    return M.predict_linear_exp(profiles(split), negbin(spark, sf_dir, split), COX_FEATURES).select(
         "profile", "predicted")
 
 
-def requests(spark, sf_dir):
-    """Scoring requests built from the model frame rows (one per entity),
-    plus their raw spelling: lower-case league, season-number debut."""
-    mf = model_frame(spark, sf_dir)
-    return mf.select(F.col("Player").alias("request_id"), F.col("Player").alias("name"),
-                     F.lower("League").alias("league"), F.col("Role").alias("role"),
-                     (F.col("Debut") - 1989).alias("debut"))
+def requests(rows):
+    """Scoring requests built from the rows of the encoded model frame (one per
+    entity), plus their raw spelling: lower-case league, season-number debut."""
+    return rows.select(F.col("Player").alias("request_id"), F.col("Player").alias("name"),
+                       F.lower("League").alias("league"), F.col("Role").alias("role"),
+                       F.col("Debut").alias("debut"))
 
 
 @register("score_batch", None, ("I14", "C24", "C25"))
 def q_score(spark, sf_dir):
-    coefs, baseline, info = cox(spark, sf_dir)
-    nb = negbin(spark, sf_dir)
-    labels = S.confidence_labels(split_frame(spark, sf_dir).where(F.col("split") == "train"))
-    out = S.score(requests(spark, sf_dir), nb_coefs=nb, cox_coefs=coefs, baseline=baseline,
+    split = cut_lineage(split_frame(spark, sf_dir))
+    coefs, baseline, info = cox(spark, sf_dir, split)
+    nb = negbin(spark, sf_dir, split)
+    labels = S.confidence_labels(split.where(F.col("split") == "train"))
+    out = S.score(requests(split), nb_coefs=nb, cox_coefs=coefs, baseline=baseline,
                   cox_means=info["means"], labels=labels, leagues=MODEL_LEAGUES, roles=MODEL_ROLES,
                   ref_league=REF_LEAGUE, ref_role=REF_ROLE, role_case="upper", long_league="1-URGENT")
     return out.withColumn("survival_probs", F.to_json("survival_probs")).withColumn(
@@ -215,7 +220,6 @@ def q_score(spark, sf_dir):
 def q_report(spark, sf_dir):
     """The whole report, read from a saved and reloaded bundle."""
     from ..operators import bundle as B, reports
-    from ..session import cut_lineage
     from ..streaming.incremental import scratch_dir
     from .q_reports import PARAMS, fit_bundle
     split = cut_lineage(split_frame(spark, sf_dir))

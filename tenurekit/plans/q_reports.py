@@ -13,7 +13,7 @@ from ..streaming.incremental import scratch_dir
 from .driver import NAMED_SQL, PANEL_SQL, RULES_SQL, STATS_SQL, driver_stats_named, latest_period, with_sql
 from .q_careers import MODEL_LEAGUES, MODEL_ROLES, RECORDS_CTE, REGION_SQL
 from .q_cohort import STAB, START_SELECT, stab
-from .q_models import (COX_FEATURES, MF_CTE, NUMERIC, REF_LEAGUE, REF_ROLE, RF_FEATURES, SPLIT_SQL, encoded, requests,
+from .q_models import (COX_FEATURES, MF_CTE, NUMERIC, REF_LEAGUE, REF_ROLE, RF_FEATURES, SPLIT_SQL, requests,
                        split_frame)
 from .registry import register
 
@@ -132,14 +132,16 @@ def fit_bundle(spark, sf_dir, split=None) -> B.Bundle:
     rows = M.assemble(split, RF_FEATURES)
     forest = M.fit_random_forest(rows.where(F.col("split") == "train"), RF_FEATURES, "Career_Seasons", **PARAMS["forest"])
     coefs, baseline, info = M.fit_cox(train, "Career_Seasons", "Observed", COX_FEATURES, **PARAMS["cox"])
+    baseline = cut_lineage(baseline)
     rf = M.regression_metrics(forest.transform(rows), "Career_Seasons", by="split").select(
         F.lit("forest").alias("model"), "split", F.expr("stack(3, 'mae', mae, 'rmse', rmse, 'r2', r2) AS (metric, value)"))
     risk = cut_lineage(M.partial_hazard(split, coefs, info["means"]).select("split", "Career_Seasons", "Observed", (-F.col("risk")).alias("score")))
     for part in ("train", "test"):
         c = M.concordance(risk.where(F.col("split") == part), "Career_Seasons", "Observed", "score")
         rf = rf.unionByName(c.select(F.lit("cox").alias("model"), F.lit(part).alias("split"), F.lit("c_index").alias("metric"), F.col("c_index").alias("value")))
+    rf = cut_lineage(rf)  # a few rows; whoever saves the bundle again need not predict every row again
     return B.assemble(
-        spark, forest=forest, features=RF_FEATURES, medians=M.median_values(encoded(spark, sf_dir), NUMERIC), cox_coefs=coefs, baseline=baseline,
+        spark, forest=forest, features=RF_FEATURES, medians=M.median_values(split, NUMERIC), cox_coefs=coefs, baseline=baseline,
         cox_means=info["means"], nb_coefs=M.fit_negbin(train, "Career_Seasons", COX_FEATURES), labels=S.confidence_labels(train),
         vocabulary={"league": (MODEL_LEAGUES, REF_LEAGUE), "role": (MODEL_ROLES, REF_ROLE)}, metrics=rf)
 
@@ -156,10 +158,11 @@ SELECT "League" AS league, count(*) AS n_requests, count(*) AS n_valid, 0::BIGIN
 def q_bundle_score(spark, sf_dir):
     """Fit, save, reload; score every request in memory and from the reloaded
     version, and count the rows that differ."""
-    made = fit_bundle(spark, sf_dir)
+    rows = cut_lineage(split_frame(spark, sf_dir))
+    made = fit_bundle(spark, sf_dir, rows)
     root = scratch_dir(spark, "bundle")
     back = B.load(spark, root, B.save(made, root))
-    req, rows = requests(spark, sf_dir), split_frame(spark, sf_dir)
+    req = requests(rows)
     a, b = _scored(made, req, rows), _scored(back, req, rows).withColumnsRenamed({"row": "row_b", "league": "league_b", "n_errors": "errors_b"})
     return a.join(b, "request_id", "full").groupBy("league").agg(
         F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col("errors_b") == 0).alias("n_valid"),
