@@ -158,10 +158,12 @@ def kept_terms(docs: DataFrame, min_docs: int = 3, first_level: int = FIRST_LEVE
         found = stored(d.mapInArrow(_scan(below, level, bits, n_bits), LEVEL)
                        .groupBy("lang", "source", "key", "complete")
                        .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count")), "prefix-level")
-        terms = (found.filter("complete").groupBy("lang", F.col("key").alias("term"))
-                 .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"),
-                      F.collect_list(F.struct("source", "count")).alias("per"))
-                 .filter(F.col("docs") >= min_docs))
+        # rare terms are told by sums of fixed width; only the others get a list of their sources
+        whole = found.filter("complete").select("lang", F.col("key").alias("term"), F.struct("source", "count").alias("x"), "docs")
+        enough = (whole.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("x.count").alias("count"))
+                  .filter(F.col("docs") >= min_docs))
+        terms = (whole.drop("docs").join(enough.hint("shuffle_hash"), ["lang", "term"])
+                 .groupBy("lang", "term", "docs", "count").agg(F.collect_list("x").alias("per")))
         done = terms if done is None else done.unionByName(terms)
         longer = found.filter(~F.col("complete") & (F.col("docs") >= min_docs))
         n = longer.count()
