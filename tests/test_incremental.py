@@ -124,3 +124,78 @@ def test_jsonl_quarantine(spark):
     spark.createDataFrame([('{"player": "e", "year": 1}',)], "v string").write.text(os.path.join(landing, "b"))
     run()
     assert I.read_history(spark, history).count() == 3 and spark.read.parquet(bad).count() == 6
+
+
+def _replay(spark, name, batches, n_buckets=4, rules=RULES, **kw):
+    """Each batch landed and taken in by itself; gives history, panel and a way to go on."""
+    base = I.scratch_dir(spark, name)
+    landing, history, panel, ckpt = (os.path.join(base, x) for x in ("landing", "history", "panel", "ckpt"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def take(rows, name, rules=rules):
+        spark.createDataFrame(rows, SCHEMA).write.parquet(os.path.join(landing, name))
+        cb = I.panel_refresher(spark, history, panel, rules_frame(spark, rules), entity="player", period="year", n_buckets=n_buckets, tiebreak="_line", **kw)
+        I.run_ingest(spark, landing, schema, history, ckpt, on_batch=cb, bucket_by=("player", n_buckets))
+    for i, rows in enumerate(batches):
+        take(rows, f"b{i}")
+    return history, panel, take
+
+
+def _read(spark, panel):
+    return sorted(map(str, I.read_panel(spark, panel).collect()))
+
+
+def _batch(spark, rows, rules=RULES, **kw):
+    return sorted(map(str, build_longitudinal(spark.createDataFrame(rows, SCHEMA), rules_frame(spark, rules), None, tiebreak="_line", **kw).collect()))
+
+
+MIXED = [_rows(0, 30, 2021) + _rows(30, 10, 2022) + [(None, 2020, "LEC", "Spring", 500), ("n", None, None, None, 501)],
+         _rows(40, 15, 2018) + [("p1", 2021, None, "Summer", 600)],  # an earlier season, late
+         [("p2", 2017, "LEC", "Winter", 700), ("new", 2023, "Academy", None, 701)],
+         [("n", 2019, "Academy", "Spring", 800), (None, None, "Academy", None, 801)]]
+
+
+@pytest.mark.parametrize("null_skipping", [False, True])
+def test_waiting_rows_read_as_one_panel_and_no_old_row_is_read_again(spark, monkeypatch, null_skipping):
+    monkeypatch.setattr(I, "FOLD_BYTES", 0)
+    read = []
+    original = I.build_longitudinal
+    monkeypatch.setattr(I, "build_longitudinal", lambda rows, *a, **k: read.append(rows.count()) or original(rows, *a, **k))
+    kw = dict(null_skipping=null_skipping)
+    _, panel, take = _replay(spark, "t-wait", MIXED[:1], **kw)
+    rows = list(MIXED[0])
+    for i, more in enumerate(MIXED[1:]):
+        take(more, f"more{i}")
+        rows += more
+        assert _read(spark, panel) == _batch(spark, rows, **kw)
+    assert read == [len(b) for b in MIXED]
+    assert I._waiting(spark, panel)
+    monkeypatch.setattr(I, "FOLD_FILES", 1)
+    last = [(f"p{i}", 2024, "LEC", "Spring", 900 + i) for i in range(7)] + [("n", 2024, "LEC", "Spring", 950), ("new", 2024, "LEC", "Spring", 951), (None, 2024, "LEC", "Spring", 952)]
+    take(last, "last")
+    assert not I._waiting(spark, panel) and _read(spark, panel) == _batch(spark, rows + last, **kw)
+
+
+def test_panel_is_built_anew_where_it_cannot_go_on(spark, monkeypatch):
+    monkeypatch.setattr(I, "FOLD_BYTES", 0)
+    history, panel, take = _replay(spark, "t-anew", MIXED[:2])
+    rows = MIXED[0] + MIXED[1]
+    again = spark.createDataFrame(MIXED[1], SCHEMA)
+    cb = I.panel_refresher(spark, history, panel, rules_frame(spark, RULES), entity="player", period="year", n_buckets=4, tiebreak="_line")
+    cb(again, 1)  # a replayed batch
+    assert _read(spark, panel) == _batch(spark, rows) and not I._waiting(spark, panel)
+    I._keep_state(spark, panel, None)  # as a fold that was cut off leaves it
+    take(MIXED[2], "c")
+    assert _read(spark, panel) == _batch(spark, rows + MIXED[2])
+    other = [("Academy", "exact", 1, "AC"), ("__DEFAULT__", "default", 2, "Unknown")]
+    take(MIXED[3], "d", rules=other)
+    assert _read(spark, panel) == _batch(spark, rows + MIXED[2] + MIXED[3], rules=other)
+
+
+def test_an_empty_first_batch(spark):
+    history, panel, take = _replay(spark, "t-empty", [])
+    cb = I.panel_refresher(spark, history, panel, rules_frame(spark, RULES), entity="player", period="year", n_buckets=4, tiebreak="_line")
+    I._write_epoch(spark.createDataFrame(MIXED[0], SCHEMA).limit(0), os.path.join(history, "_epoch=0"), None)
+    cb(spark.createDataFrame([], SCHEMA), 0)
+    cb(spark.createDataFrame(MIXED[0], SCHEMA), 1)
+    assert _read(spark, panel) == _batch(spark, MIXED[0])
