@@ -61,6 +61,18 @@ def test_forest_runs_on_no_more_partitions_than_cores(spark, monkeypatch):
     assert seen == [(3000, spark.sparkContext.defaultParallelism)]
 
 
+def test_forest_grows_few_trees_at_once_into_the_same_trees(spark, monkeypatch):
+    seen = []
+    original = RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, d, *k: seen.append((self, d)) or original(self, d, *k))
+    df = rows(spark).withColumn("c", F.rand(5)).cache()
+    model = M.fit_random_forest(df, ["a", "b", "c"], "t", num_trees=40)
+    (rf, data), trees = seen[0], lambda m: m.toDebugString.split("\n", 1)[1]
+    assert rf.getMaxMemoryInMB() == M.PASS_MB
+    assert trees(model) == trees(original(rf.copy({rf.maxMemoryInMB: 256}), data))
+    assert M.pass_mb(12) == 2 and M.pass_mb(100) >= 200 * 100 * 32 * 24 / 2**20 and M.pass_mb(10**6) == 256
+
+
 def test_task_bytes_are_bounded_and_smaller_settings_stay(spark):
     keys = list(MOST_BYTES)
     old = {k: spark.conf.get(k) for k in keys}
